@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from webloom.llm.oracle import SQL
 
-MODULES = ["site_lines", "repetition", "leakage"]
+MODULES = ["site_lines", "repetition", "leakage", "reading", "mixing"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
