@@ -1,8 +1,9 @@
 """Problem 9: mixing sources to target weights.
 
 Sizes are tokens of a public tokenizer (its vocabulary file is a parameter). Every document of a source has the same
-number of expected copies, chosen so that the sources stand in the target proportions and the scarcest source is used
-up to its cap; systematic sampling then lays the expected copies of a source end to end, adds one random offset and
+number of expected copies: what the source's share of the mix needs, at most its cap. The mix is as large as the corpus
+unless a size is given; a source that cannot fill its share within its cap gives all it may, and the report shows by how
+much it falls short. A mix of at most `exact_total` tokens meets every share. Systematic sampling then lays the expected copies of a source end to end, adds one random offset and
 emits a document once for each integer boundary it crosses. The prefix sums are taken in two steps, within hash buckets
 and over the buckets of a source, so that a source with a third of all rows is spread over all tasks.
 """
@@ -51,19 +52,20 @@ def _targets(targets: DataFrame) -> DataFrame:
 
 
 def rates(sizes: DataFrame, targets: DataFrame, total: int | None = None) -> DataFrame:
-    """One row a target source: tokens, documents, its part of the mix and the expected copies of each document.
+    """One row a target source: tokens, documents, its reachable share and the expected copies of each document.
 
-    Without `total` the mix is as large as the caps allow while all sources with documents keep their proportions; with
-    it, a source whose cap is reached gives what it has. Targets without documents have rate 0.
+    Targets without documents have rate 0 and their share is divided among the others in proportion. `total` is the size
+    of the mix in tokens, by default the tokens of all documents of target sources. `exact_total` is the largest mix in
+    which no source reaches its cap.
     """
     have = sizes.groupBy("source").agg(F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n_documents"))
     t = _targets(targets).join(have, "source", "left").fillna(0, ["n_tokens", "n_documents"])
-    everywhere = Window.partitionBy()
+    everywhere = Window.partitionBy()  # a row a target source
     here = F.col("n_tokens") > 0
     share = F.when(here, F.col("target_share") / F.sum(F.when(here, F.col("target_share"))).over(everywhere)).otherwise(0.0)
     t = t.withColumn("reachable_share", share)
-    most = F.min(F.when(here, F.col("n_tokens") * F.col("max_repeat") / F.col("reachable_share"))).over(everywhere)
-    size = F.lit(float(total)) if total is not None else most
+    t = t.withColumn("exact_total", F.min(F.when(here, F.col("n_tokens") * F.col("max_repeat") / F.col("reachable_share"))).over(everywhere))
+    size = F.lit(float(total)) if total is not None else F.sum("n_tokens").over(everywhere)
     return t.withColumn("rate", F.when(here, F.least(F.col("max_repeat").cast("double"), size * F.col("reachable_share") / F.col("n_tokens"))).otherwise(0.0))
 
 
@@ -89,7 +91,7 @@ def shares(mixed: DataFrame, rate: DataFrame) -> DataFrame:
     got = mixed.groupBy("source").agg(F.sum("n_tokens").alias("mix_tokens"), F.count(F.lit(1)).alias("n_copies"), F.max("copy_no").alias("most_copies"))
     own = rate.join(got, "source", "left").fillna(0, ["mix_tokens", "n_copies", "most_copies"])
     whole = F.sum("mix_tokens").over(Window.partitionBy())
-    return own.select("source", "target_share", F.round("reachable_share", 6).alias("reachable_share"), F.round(F.when(whole > 0, F.col("mix_tokens") / whole).otherwise(0.0), 6).alias("actual_share"), "n_documents", "n_tokens", F.col("mix_tokens"), "n_copies", "most_copies", "max_repeat")
+    return own.select("source", "target_share", F.round("reachable_share", 6).alias("reachable_share"), F.round(F.when(whole > 0, F.col("mix_tokens") / whole).otherwise(0.0), 6).alias("actual_share"), "n_documents", "n_tokens", F.col("mix_tokens"), "n_copies", "most_copies", "max_repeat", F.round("exact_total").cast("bigint").alias("exact_total"))
 
 
 def _prepared(spark: SparkSession, d: str, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
