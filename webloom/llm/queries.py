@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from webloom.llm.oracle import SQL
 
-MODULES = ["language", "site_lines", "mojibake", "repetition", "leakage", "reading", "mixing"]
+MODULES = ["language", "site_lines", "boilerplate", "mojibake", "repetition", "leakage", "reading", "mixing"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
