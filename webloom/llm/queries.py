@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from webloom.llm.oracle import SQL
 
-MODULES = ["language", "site_lines", "boilerplate", "quality", "mojibake", "repetition", "leakage", "reading", "mixing"]
+MODULES = ["pii", "language", "repetition", "site_lines", "boilerplate", "quality", "mojibake", "leakage", "mixing", "reading"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
