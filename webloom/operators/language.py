@@ -2,39 +2,58 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Any
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from webloom.functions.text import is_word, ratio, tokens
+from webloom.functions.arrow import map_rows
+from webloom.operators.repetition import tokenize
 from webloom.plans.profile import GREEK, Profile
 
 
 def scores(docs: DataFrame, profile: Profile = GREEK) -> DataFrame:
-    """Adds `scores`: language -> share of its frequent words among all frequent words found; zeros where none is found."""
-    words = F.filter(F.transform(tokens(F.col("text")), lambda w: F.regexp_replace(F.lower(w), "ς", "σ")), is_word)
-    with_words = docs.withColumn("_words", words)
+    """All columns, and `scores` (language -> share of its frequent words among all frequent words found), `language` and
+    `language_score` (the highest, ties by name; und and 0 where no frequent word is found, as in null and empty texts).
+
+    One Arrow pass: as built-in expressions the word list would be evaluated again for each language and each later use.
+    """
     names = sorted(profile.profiles)
+    lists = {n: frozenset(w.replace("ς", "σ") for w in profile.profiles[n]) for n in names}
+    at = docs.columns.index("text")
+
+    def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
+        owners: dict[str, list[int]] = {}
+        for k, n in enumerate(names):
+            for w in lists[n]:
+                owners.setdefault(w, []).append(k)
+
+        def f(*columns: list[Any]) -> Iterator[tuple[Any, ...]]:
+            for row in zip(*columns, strict=True):
+                found = [0] * len(names)
+                for w in tokenize(row[at]):
+                    for k in owners.get(w.lower().replace("ς", "σ"), ()):
+                        found[k] += 1
+                total = sum(found)
+                share = [x / total if total else 0.0 for x in found]
+                top = max(share)
+                yield *row, list(zip(names, share, strict=True)), names[share.index(top)] if top else "und", top
 
-    def count(lang: str) -> Column:
-        own = F.array(*[F.lit(w.replace("ς", "σ")) for w in profile.profiles[lang]])
-        return F.size(F.filter("_words", lambda w: F.array_contains(own, w))).cast("bigint")
+        return f
 
-    counted = with_words.withColumns({f"_n_{n}": count(n) for n in names})
-    total = sum((F.col(f"_n_{n}") for n in names), F.lit(0))
-    shares = F.create_map(*[x for n in names for x in (F.lit(n), ratio(F.col(f"_n_{n}"), total))])
-    return counted.withColumn("scores", shares).drop("_words", *[f"_n_{n}" for n in names])
+    schema = T.StructType([*docs.schema.fields, T.StructField("scores", T.MapType(T.StringType(), T.DoubleType())), T.StructField("language", T.StringType()), T.StructField("language_score", T.DoubleType())])
+    out = map_rows(docs, docs.columns, schema, make)
+    return out.withColumns({"scores": F.transform_values("scores", lambda _, v: F.round(v, 6)), "language_score": F.round("language_score", 6)})
 
 
-def best(scored: DataFrame) -> DataFrame:
-    """Adds language and language_score: the highest score, ties by name; und and 0 where all are 0."""
-    names = F.array_sort(F.map_keys("scores"))
-    top = F.array_max(F.map_values("scores"))
-    name = F.filter(names, lambda n: F.col("scores")[n] == top)[0]
-    return scored.withColumns({"language": F.when(top > 0, name).otherwise("und"), "language_score": top})
+def passes(profile: Profile = GREEK) -> Column:
+    return (F.col("language") == profile.language) & (F.coalesce("language_score", F.lit(0.0)) >= profile.language_score)
 
 
 def above_threshold(scored: DataFrame, profile: Profile = GREEK) -> DataFrame:
-    return scored.where((F.col("language") == profile.language) & (F.coalesce("language_score", F.lit(0.0)) >= profile.language_score))
+    return scored.where(passes(profile))
 
 
 def top_pairs(scored: DataFrame, profile: Profile = GREEK) -> DataFrame:

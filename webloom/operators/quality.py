@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions.text import is_word, lines, ratio, shown, tokens
+from webloom.operators.repetition import ngram_fractions, piece_columns
 from webloom.plans.profile import GREEK, Profile
 
 TERMINAL = "[.!?…;:\"»]$"
@@ -13,8 +14,8 @@ BULLET = "^[ \\t]*[•‣▪◦●→*-]"
 
 
 def line_measures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines (shown), and shares: terminal punctuation, short lines, repeated characters, line breaks a word."""
-    own = docs.select("doc_id", "text", F.filter(lines(F.col("text")), shown).alias("l"), F.size(F.filter(tokens(F.col("text")), is_word)).cast("bigint").alias("n_words"))
+    """All columns, and n_lines (shown) and shares: terminal punctuation, short lines, repeated characters, line breaks a word."""
+    own = docs.select("*", F.filter(lines(F.col("text")), shown).alias("l"), F.size(F.filter(tokens(F.col("text")), is_word)).cast("bigint").alias("nw"))
     once = F.array_distinct("l")
 
     def chars(a: Column) -> Column:
@@ -24,18 +25,18 @@ def line_measures(docs: DataFrame) -> DataFrame:
     size = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "\n", ""))
     breaks = F.length(F.coalesce("text", F.lit(""))) - size
     return own.select(
-        "doc_id",
+        *docs.columns,
         n.alias("n_lines"),
         ratio(F.size(F.filter("l", lambda x: F.rtrim(x).rlike(TERMINAL))).cast("bigint"), n).alias("terminal_frac"),
         ratio(F.size(F.filter("l", lambda x: F.length(x) <= 30)).cast("bigint"), n).alias("short_frac"),
         ratio(chars(F.col("l")) - chars(once), size).alias("char_dup_frac"),
-        ratio(breaks, F.col("n_words")).alias("new_line_ratio"),
+        ratio(breaks, F.col("nw")).alias("new_line_ratio"),
     )
 
 
 def word_measures(docs: DataFrame, profile: Profile = GREEK) -> DataFrame:
-    """doc_id, words, mean word length, alphabetic share of tokens, symbols a word, stop words, bullet and ellipsis shares of lines."""
-    own = docs.select("doc_id", "text", tokens(F.col("text")).alias("t"), F.filter(lines(F.col("text")), shown).alias("l"))
+    """All columns, and words, mean word length, alphabetic share of tokens, symbols a word, stop words, bullet and ellipsis shares of lines."""
+    own = docs.select("*", tokens(F.col("text")).alias("t"), F.filter(lines(F.col("text")), shown).alias("l"))
     own = own.withColumn("w", F.filter("t", is_word))
     nw, nt, nl = (F.size(c).cast("bigint") for c in ("w", "t", "l"))
     letters = F.aggregate("w", F.lit(0).cast("bigint"), lambda s, x: s + F.length(x))
@@ -46,7 +47,7 @@ def word_measures(docs: DataFrame, profile: Profile = GREEK) -> DataFrame:
         return F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(pattern), F.lit(0))).cast("bigint")
 
     return own.select(
-        "doc_id",
+        *docs.columns,
         nw.alias("n_words"),
         ratio(letters, nw).alias("avg_word_length"),
         ratio(alpha, nt).alias("alpha_ratio"),
@@ -94,8 +95,6 @@ def first_reason(measures: DataFrame, profile: Profile = GREEK) -> DataFrame:
 
 
 def measures(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True) -> DataFrame:
-    """All measures of a document side by side, joined on doc_id (which must be unique)."""
-    from webloom.operators.repetition import ngram_fractions, repeated_pieces
-
-    out = repeated_pieces(docs).join(line_measures(docs), "doc_id").join(word_measures(docs, profile), "doc_id")
-    return out.join(ngram_fractions(docs, profile), "doc_id") if n_grams else out
+    """All measures of a document side by side, with the columns of the input but text; narrow, without a join."""
+    base = word_measures(line_measures(docs.select("*", *piece_columns())), profile)
+    return ngram_fractions(base, profile) if n_grams else base.drop("text")

@@ -9,6 +9,7 @@ from typing import Any
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from webloom.functions.arrow import map_rows
 from webloom.functions.text import TOKEN, ratio
@@ -32,10 +33,14 @@ def duplicates(text: Column, pattern: str) -> tuple[Column, Column, Column]:
 
 def repeated_pieces(docs: DataFrame) -> DataFrame:
     """doc_id, and shares of repeated lines and paragraphs, by number and by characters of the text."""
+    return docs.select("doc_id", *piece_columns())
+
+
+def piece_columns() -> list[Column]:
     n, dup, chars = duplicates(F.col("text"), "\n+")
     pn, pdup, pchars = duplicates(F.col("text"), "\n{2,}")
     size = F.length(F.coalesce("text", F.lit("")))
-    return docs.select("doc_id", ratio(dup, n).alias("dup_line_frac"), ratio(chars, size).alias("dup_line_char_frac"), ratio(pdup, pn).alias("dup_para_frac"), ratio(pchars, size).alias("dup_para_char_frac"))
+    return [ratio(dup, n).alias("dup_line_frac"), ratio(chars, size).alias("dup_line_char_frac"), ratio(pdup, pn).alias("dup_para_frac"), ratio(pchars, size).alias("dup_para_char_frac")]
 
 
 _TOKEN = regex.compile(TOKEN)
@@ -70,16 +75,21 @@ def dup_ngram_chars(words: list[str], n: int) -> int:
 
 
 def ngram_fractions(docs: DataFrame, profile: Profile = GREEK) -> DataFrame:
-    """doc_id, top_<n> and dup_<n>: shares of the text's characters; 0 for empty and null texts. One narrow pass for all n."""
+    """All columns but text, and top_<n> and dup_<n>: shares of the text's characters; 0 for empty and null texts.
+
+    One narrow pass for all n; it also keeps later filters from being pushed below and evaluated twice.
+    """
     tops, dups = [n for n, _ in profile.top_n_grams], [n for n, _ in profile.dup_n_grams]
+    names = [f"top_{n}" for n in tops] + [f"dup_{n}" for n in dups]
+    rest = [c for c in docs.columns if c != "text"]
 
     def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
-        def f(ids: list[int], texts: list[str | None]) -> Iterator[tuple[Any, ...]]:
-            for i, text in zip(ids, texts, strict=True):
+        def f(texts: list[str | None], *columns: list[Any]) -> Iterator[tuple[Any, ...]]:
+            for text, *row in zip(texts, *columns, strict=True):
                 w, size = tokenize(text), len(text or "")
-                yield i, *[round(top_ngram_chars(w, n) / size, 6) if size else 0.0 for n in tops], *[round(dup_ngram_chars(w, n) / size, 6) if size else 0.0 for n in dups]
+                yield *row, *[top_ngram_chars(w, n) / size if size else 0.0 for n in tops], *[dup_ngram_chars(w, n) / size if size else 0.0 for n in dups]
 
         return f
 
-    schema = "doc_id bigint, " + ", ".join([f"top_{n} double" for n in tops] + [f"dup_{n} double" for n in dups])
-    return map_rows(docs, ["doc_id", "text"], schema, make)
+    schema = T.StructType([*[docs.schema[c] for c in rest], *[T.StructField(n, T.DoubleType()) for n in names]])
+    return map_rows(docs, ["text", *rest], schema, make).withColumns({n: F.round(n, 6) for n in names})

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.queries import manifest
+from webloom.queries import documents, manifest
 
-MODULES = [manifest]
+MODULES = [manifest, documents]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
