@@ -53,9 +53,9 @@ def with_row_index(manifest: DataFrame) -> DataFrame:
     """
     per_file = manifest.groupBy("warc_filename").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("warc_filename").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = per_file.select("warc_filename", before.alias("start"))
+    starts = per_file.select("warc_filename", before.alias("_start"))
     own = F.row_number().over(Window.partitionBy("warc_filename").orderBy("warc_record_offset", *[c for c in manifest.columns if c not in ORDER]))
-    return manifest.withColumn("own", own).join(starts, "warc_filename").withColumn("row_idx", (F.col("start") + F.col("own") - 1).cast("bigint")).drop("own", "start").select("row_idx", *manifest.columns)
+    return manifest.withColumn("_own", own).join(starts, "warc_filename").withColumn("row_idx", (F.col("_start") + F.col("_own") - 1).cast("bigint")).drop("_own", "_start").select("row_idx", *manifest.columns)
 
 
 def slice_rows(indexed: DataFrame, offset: int = 0, limit: int = -1) -> DataFrame:

@@ -20,7 +20,7 @@ LISTS = replace(GREEK, blocked_domains=("pylikon.example",), blocked_hosts=("m.t
 
 
 def docs(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents")
+    return table(s, d, "documents", spread=True)
 
 
 def _verdicts(s: SparkSession, d: str) -> DataFrame:
@@ -174,7 +174,7 @@ sig as materialized (select doc_id, [{', '.join(f'min(({a} * h + {b}) % {minhash
 BANDS = f"{SIG}, band as materialized (select doc_id, k::int as band, md5(array_to_string(signature[k*8+1:k*8+8], ',')) as bucket from (select doc_id, signature, unnest(range(0, 14)) as k from sig))"
 PAIRS = f"{BANDS}, pair as materialized (select distinct u, doc_id as v from band join (select band, bucket, min(doc_id) as u from band group by all having count(*) > 1) using (band, bucket) where doc_id > u)"
 CLUSTERS = f"{PAIRS}, edge as (select u, v from pair union select v, u from pair), reach(doc_id, other) as (select u, u from edge union select r.doc_id, e.v from reach r join edge e on r.other = e.u), comp as materialized (select doc_id, min(other) as cluster_id from reach group by doc_id), clus as materialized (select d.doc_id, coalesce(c.cluster_id, d.doc_id) as cluster_id, count(*) over (partition by coalesce(c.cluster_id, d.doc_id)) as cluster_size from documents d left join comp c on d.doc_id = c.doc_id)"
-KEPT = "select doc_id, cluster_id, cluster_size from (select c.*, row_number() over (partition by cluster_id order by warc_filename, warc_record_offset, doc_id) as k from clus c join documents d on c.doc_id = d.doc_id) where k = 1"
+KEPT = "select doc_id, cluster_id, cluster_size from (select doc_id, cluster_id, cluster_size, row_number() over (partition by cluster_id order by warc_filename, warc_record_offset, doc_id) as k from clus c join documents d using (doc_id)) where k = 1"
 
 SQL: dict[str, str] = {
     "url_filter": f"select doc_id, {HOST} as host, {VERDICT} as verdict from documents",

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 
-def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """The table `name` of a directory that holds one parquet file or folder per table."""
-    return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, directory: str, name: str, spread: bool = False) -> DataFrame:
+    """The table `name` of a directory that holds one parquet file or folder per table.
+
+    A lone file has few row groups and so few tasks. With `spread`, for work that costs far more than moving the rows,
+    such a file's rows are dealt out to all cores; folders of files are left as they are.
+    """
+    path = f"{directory.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return df.repartition(spark.sparkContext.defaultParallelism) if spread and os.path.isfile(path) else df
