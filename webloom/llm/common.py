@@ -1,16 +1,12 @@
-"""Folding of text and Arrow helpers that the operators share."""
+"""Folding of text and tables that the operators share."""
 
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable, Iterator
-from typing import Any
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
+from webloom.functions.arrow import map_rows
 from webloom.sources.tables import table
 
 __all__ = ["LINES", "WORDS", "documents", "fold", "map_rows", "table", "words"]
@@ -50,34 +46,5 @@ def fold(text: str) -> str:
     return text.translate(LINES)
 
 
-def map_rows(df: DataFrame, columns: list[str], schema: str | T.StructType, make: Callable[[], Callable[..., Any]], each: int = 512) -> DataFrame:
-    """Apply a generator of tuples over column lists, batch by batch, through Arrow.
-
-    `make()` runs once a task and gives `f(*column_lists) -> iterable of tuples` in the order of `schema`.
-    At most `each` rows are Python objects at a time; results are sent in batches of some thousand rows.
-    """
-    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    arrow = to_arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f, held = make(), []
-        for big in batches:
-            for at in range(0, big.num_rows, each):
-                b = big.slice(at, each)
-                held.extend(f(*(c.to_pylist() for c in b.columns)))
-                if len(held) >= 4096:
-                    yield _batch(held, arrow)
-                    held = []
-        if held:
-            yield _batch(held, arrow)
-
-    return df.select(*columns).mapInArrow(run, schema)
-
-
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
-
-
 def documents(spark: SparkSession, directory: str) -> DataFrame:
-    return table(spark, directory, "documents")
+    return table(spark, directory, "documents", spread=True)
