@@ -147,7 +147,7 @@ def containers(html: str) -> list[tuple[str, list[tuple[str, bool]]]]:
             leaf()
             kind = ""
             if not m[2]:
-                stack.append((tag, f"{tag} {' '.join(m[4].split())}", []))
+                stack.append((tag, f"{tag} {' '.join(m[4].split())}".strip(), []))
             elif any(s[0] == tag for s in stack):
                 while True:
                     t, opening, own = stack.pop()
