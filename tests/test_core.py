@@ -238,3 +238,29 @@ def test_pipeline_reasons_in_order(spark):
     banned = Profile(blocked_domains=("x.example",))
     assert {r.reason for r in pipeline.reasons(docs, banned).collect()} == {"url_domain"}
     assert GREEK.dup_para_frac == 0
+
+
+def test_command_line_from_records_to_corpus(spark, tmp_path):
+    from webloom import cli
+
+    def body(seed):
+        r = random.Random(seed)
+        word = lambda: "".join(r.choice("αβγδεζηθικλμνξοπρστυφχψω") for _ in range(r.randrange(4, 10)))
+        return "".join("<p>" + " ".join(f"{r.choice(GREEK.stop_words)} {word()}" for _ in range(9)) + " τέλος.</p>" for _ in range(9))
+
+    bodies = [f"<html><body>{body(k)}</body></html>" for k in (1, 1, 5)] + ["<p>λίγα</p>"]
+    at, data, blob = 0, [], b""
+    for n, body in enumerate(bodies):
+        one = gzip.compress(b"WARC/1.0\r\n\r\nHTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + body.encode() + b"\r\n\r\n")
+        data.append((f"https://x.example/{n}", "x.example", f"h{n}", "ell", "a.gz", at, len(one)))
+        blob += one
+        at += len(one)
+    (tmp_path / "a.gz").write_bytes(blob)
+    man(spark, data).write.parquet(str(tmp_path / "m"))
+    call = ["CC", "--manifest", str(tmp_path / "m"), "--records", str(tmp_path), "--out-dir", str(tmp_path / "out"), "--chunk-size", "2", "--tasks", "2", "--publish-to", str(tmp_path / "pub")]
+    got = cli.main(call)
+    assert got["survivors"] - got["removed"] == got["final"]
+    assert got["final"] >= 1 and got["removed"] >= 1
+    assert cli.main(call) == {}
+    empty = cli.main([*call[:1], "--manifest", call[2], "--records", call[4], "--out-dir", str(tmp_path / "out2"), "--skip-published", "0", "2"])
+    assert empty["final"] == 0

@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from webloom.operators import html, minhash
 from webloom.operators.manifest import default_tasks, prefix_end, with_row_index
 from webloom.plans import pipeline, publish
 from webloom.session import build
@@ -35,12 +36,12 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     start = prefix_end(set(a.skip_published))
     rows = publish.with_chunk(with_row_index(spark.read.parquet(a.manifest)), a.chunk_size).where(F.col("row_idx") >= start)
     fetched = read_records(rows.repartition(a.tasks), a.crawl, local_fetch(a.records))
-    keyed = fetched.withColumn("doc_id", F.xxhash64("warc_filename", "warc_record_offset")).join(rows.select("warc_filename", "warc_record_offset", "chunk"), ["warc_filename", "warc_record_offset"])
+    pages = fetched.withColumn("text", html.plain_text(F.col("text"))).where("text <> ''")
+    keyed = pages.withColumn("doc_id", F.xxhash64("warc_filename", "warc_record_offset")).join(rows.select("warc_filename", "warc_record_offset", "chunk"), ["warc_filename", "warc_record_offset"])
     stage = str(Path(a.out_dir, a.crawl, "stage-1"))
-    publish.write_chunks(pipeline.stage_one(keyed), stage)
-    survivors = spark.read.parquet(stage)
-    from webloom.operators import minhash
-
+    passed = pipeline.stage_one(keyed)
+    publish.write_chunks(passed, stage)
+    survivors = spark.read.schema(passed.schema).parquet(stage)
     kept = minhash.keep_one(survivors, minhash.clusters(survivors))
     out = survivors.join(kept, "doc_id")
     publish.write_final(out, str(final))

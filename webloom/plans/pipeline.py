@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from webloom.operators import cleanup, language, minhash, quality, url
 from webloom.plans.profile import GREEK, Profile
+from webloom.session import cut
 
 
 def reasons(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True) -> DataFrame:
@@ -30,14 +31,22 @@ def formatted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("text", cleanup.symbol_lines(cleanup.redact_addresses(cleanup.repair(F.col("text")))))
 
 
+def survivors(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True) -> DataFrame:
+    """doc_id of the documents that pass all filters."""
+    return reasons(docs, profile, n_grams).where("reason is null").select("doc_id")
+
+
 def stage_one(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True) -> DataFrame:
     """Surviving documents with formatted text; all columns of the input."""
-    kept = reasons(docs, profile, n_grams).where("reason is null").select("doc_id")
-    return formatted(docs.join(kept, "doc_id", "left_semi"))
+    return formatted(docs.join(survivors(docs, profile, n_grams), "doc_id", "left_semi"))
 
 
 def full(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True) -> DataFrame:
-    """Stage one and near-duplicate removal: doc_id, url, text, cluster_id, cluster_size of the documents kept."""
-    survivors = stage_one(docs, profile, n_grams)
-    kept = minhash.keep_one(survivors, minhash.clusters(survivors))
-    return survivors.select("doc_id", "url", "text").join(kept, "doc_id")
+    """Stage one and near-duplicate removal: doc_id, url, text, cluster_id, cluster_size of the documents kept.
+
+    The filters run once: the ids of their survivors are cut, and later steps join them by id.
+    """
+    ids = cut(survivors(docs, profile, n_grams))
+    passed = formatted(docs.join(ids, "doc_id", "left_semi"))
+    kept = minhash.keep_one(passed, minhash.clusters(passed))
+    return passed.select("doc_id", "url", "text").join(kept, "doc_id")
