@@ -166,6 +166,16 @@ def test_mixing(spark):
     assert mixing.mix(sizes.where("false"), mixing.rates(sizes.where("false"), targets)).count() == 0
 
 
+def test_default_mix_meets_the_shares(spark):
+    sizes = spark.createDataFrame([(i, "a" if i < 900 else "b", 20) for i in range(1000)], "doc_id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("a", 0.5, 3), ("b", 0.5, 2)], "source string, target_share double, max_repeat int")
+    rate = mixing.rates(sizes, targets)
+    got = {x.source: x for x in mixing.shares(mixing.mix(sizes, rate, rows_per_bucket=50), rate).collect()}
+    assert abs(got["a"].actual_share - 0.5) < 0.01 and got["b"].most_copies == 2
+    scarce = spark.createDataFrame([("a", 0.5, 3), ("b", 0.5, 90)], "source string, target_share double, max_repeat int")
+    assert mixing.mix(sizes, mixing.rates(sizes, scarce)).agg(F.sum("n_tokens")).first()[0] == pytest.approx(20_000, rel=0.01)
+
+
 def test_reading(spark):
     easy, hard = "Η γάτα παίζει. Το παιδί γελά. " * 5, "Η συνταγματική διεπιστημονικότητα των θεσμών υποδηλώνει την αναδιάρθρωση μιας ευρύτερης διακυβέρνησης εντός του κανονιστικού πλαισίου. " * 3
     df = frame(spark, [easy, hard, *EDGE] + [easy] * 5)

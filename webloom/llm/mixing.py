@@ -1,10 +1,10 @@
 """Problem 9: mixing sources to target weights.
 
 Sizes are tokens of a public tokenizer (its vocabulary file is a parameter). Every document of a source has the same
-number of expected copies: what the source's share of the mix needs, at most its cap. The mix is as large as the corpus
-unless a size is given; a source that cannot fill its share within its cap gives all it may, and the report shows by how
-much it falls short. A mix of at most `exact_total` tokens meets every share. Systematic sampling then lays the expected copies of a source end to end, adds one random offset and
-emits a document once for each integer boundary it crosses. The prefix sums are taken in two steps, within hash buckets
+number of expected copies: what the source's share of the mix needs, at most its cap. A mix of at most `exact_total`
+tokens meets every share; the mix is that large, but no larger than the corpus. If a greater size is given, a source that
+cannot fill its share within its cap gives all it may, and the report shows by how much it falls short. Systematic
+sampling then lays the expected copies of a source end to end, adds one random offset and emits a document once for each integer boundary it crosses. The prefix sums are taken in two steps, within hash buckets
 and over the buckets of a source, so that a source with a third of all rows is spread over all tasks.
 """
 
@@ -55,8 +55,8 @@ def rates(sizes: DataFrame, targets: DataFrame, total: int | None = None) -> Dat
     """One row a target source: tokens, documents, its reachable share and the expected copies of each document.
 
     Targets without documents have rate 0 and their share is divided among the others in proportion. `total` is the size
-    of the mix in tokens, by default the tokens of all documents of target sources. `exact_total` is the largest mix in
-    which no source reaches its cap.
+    of the mix in tokens, by default the tokens of all documents of target sources, but at most `exact_total`, the
+    largest mix in which no source needs more than its cap.
     """
     have = sizes.groupBy("source").agg(F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n_documents"))
     t = _targets(targets).join(have, "source", "left").fillna(0, ["n_tokens", "n_documents"])
@@ -65,7 +65,7 @@ def rates(sizes: DataFrame, targets: DataFrame, total: int | None = None) -> Dat
     share = F.when(here, F.col("target_share") / F.sum(F.when(here, F.col("target_share"))).over(everywhere)).otherwise(0.0)
     t = t.withColumn("reachable_share", share)
     t = t.withColumn("exact_total", F.min(F.when(here, F.col("n_tokens") * F.col("max_repeat") / F.col("reachable_share"))).over(everywhere))
-    size = F.lit(float(total)) if total is not None else F.sum("n_tokens").over(everywhere)
+    size = F.lit(float(total)) if total is not None else F.least(F.sum("n_tokens").over(everywhere).cast("double"), F.col("exact_total"))
     return t.withColumn("rate", F.when(here, F.least(F.col("max_repeat").cast("double"), size * F.col("reachable_share") / F.col("n_tokens"))).otherwise(0.0))
 
 
