@@ -125,6 +125,25 @@ def test_mojibake(spark, rows):
     assert mojibake.damaged_lines(df.where("false")).count() == 0
 
 
+def test_mojibake_of_a_whole_site_or_source(spark):
+    text = "Το άγνωστο νερό άνοιξε τον λευκό συντονισμό στη μεγάλη πλατεία της πόλης όπου γράφει ο καιρός την ιστορία των ανθρώπων".split()
+    other = "Водата в старата къща беше студена и всички хора от града отидоха при голямата река".split()
+    said = lambda i, ws: " ".join(random.Random(i).sample(ws, len(ws)))
+    bad = lambda t: "".join(bytes([b]).decode("latin-1") for b in t.encode())
+    site = [(i, "foreign" if i % 10 == 0 else "hot" if i % 10 < 3 else f"s{i % 41}", f"x{i % 7}") for i in range(1, 401)]
+    for hot in (lambda d, s: d == "hot", lambda d, s: s == "z"):
+        rows, want = [], set()
+        for i, d, s in site:
+            s = "z" if i % 3 == 0 and d != "foreign" else s
+            t = said(i, other if d == "foreign" else text)
+            if d != "foreign" and hot(d, s):
+                want.add(i)
+                t = bad(t)
+            rows.append((i, t, d, s))
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, url_host_registered_domain string, source string")
+        assert {r.doc_id for r in mojibake.damaged_lines(df).collect()} == want
+
+
 def test_leakage_against_brute_force(spark, rows):
     r = random.Random(4)
     items = [" ".join(r.choice("abcdef") + r.choice("xyz") for _ in range(r.randrange(5, 30))) for _ in range(8)]

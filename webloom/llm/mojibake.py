@@ -2,7 +2,9 @@
 
 Adjacent character pairs are counted once a document over the whole corpus; a pair's weight is how far its contribution
 to the mutual information of neighbours lies below a threshold, so pairs of one damaged document in a hundred are
-improbable although their characters always go together. Maximum-scoring segments of these weights isolate improbable
+improbable although their characters always go together. So that a fault of one site or one source stays improbable
+however much it holds, pairs beyond ASCII count as if the group of sites or the source that has most of them were left
+out. Maximum-scoring segments of these weights isolate improbable
 runs, and inverse mappings (read back in the wrong encoding, decode in the right one) are tested only inside those runs
 and kept where the corpus finds the result clearly more probable. Replacement characters are damage that cannot be undone.
 """
@@ -24,6 +26,9 @@ CLASSES = 2048
 THRESHOLD = 2e-4
 #: Pairs below this share of all (document, pair) events need not be known; so at most 1 / LEAST pairs reach the driver.
 LEAST = 2e-6
+#: Sites and sources are counted in so many groups each; one that holds over HALF of all is no exception but the corpus.
+GROUPS = 32
+HALF = 0.5
 SEGMENT_SCORE = 1.5
 DROP = 6.0
 #: Nats a decoded pair must gain on average over the run as it stands.
@@ -41,38 +46,59 @@ def classes(text: str) -> np.ndarray:
 
 
 def pair_counts(docs: DataFrame) -> DataFrame:
-    """(pair, n): documents in which each pair of neighbouring characters stands; counted in tasks, then summed."""
+    """(part, pair, n): documents in which each pair of neighbouring characters stands, by group of sites (part below GROUPS) and of sources.
+
+    Counted in tasks, then summed; a task gives at most two rows a group and pair.
+    """
+    groups = [F.pmod(F.xxhash64(c), F.lit(GROUPS)).cast("int").alias(f"by_{c}") for c in ("url_host_registered_domain", "source")]
 
     def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
-        def f(texts: list[str | None]) -> Iterator[tuple[Any, ...]]:
-            total = np.zeros(CLASSES * CLASSES, np.int32)
-            for text in texts:
+        def f(texts: list[str | None], sites: list[int], sources: list[int]) -> Iterator[tuple[Any, ...]]:
+            totals: dict[int, np.ndarray] = {}
+            for text, site, source in zip(texts, sites, sources, strict=True):
                 if text and len(text) > 1:
                     c = classes(text)
-                    total[np.unique(c[:-1] * CLASSES + c[1:])] += 1
-            at = np.flatnonzero(total)
-            yield from zip(at.tolist(), total[at].tolist(), strict=True)
+                    at = np.unique(c[:-1] * CLASSES + c[1:])
+                    for part in (site, GROUPS + source):
+                        if part not in totals:
+                            totals[part] = np.zeros(CLASSES * CLASSES, np.int32)
+                        totals[part][at] += 1
+            for part, total in totals.items():
+                at = np.flatnonzero(total)
+                yield from zip([part] * len(at), at.tolist(), total[at].tolist(), strict=True)
 
         return f
 
-    return map_rows(docs, ["text"], "pair int, n bigint", make, each=20_000).groupBy("pair").agg(F.sum("n").alias("n"))
+    spread = docs.select("text", *groups)
+    return map_rows(spread, spread.columns, "part int, pair int, n bigint", make, each=20_000).groupBy("part", "pair").agg(F.sum("n").alias("n"))
 
 
 class Model:
-    """Weights and log probabilities of character pairs, from (pair, n) arrays."""
+    """Weights and log probabilities of character pairs, from (pair, n, n without the group that has most) arrays."""
 
-    def __init__(self, pairs: np.ndarray, n: np.ndarray, total: int, left: np.ndarray, right: np.ndarray, threshold: float = THRESHOLD) -> None:
+    def __init__(self, pairs: np.ndarray, n: np.ndarray, rest: np.ndarray, total: int, left: np.ndarray, right: np.ndarray, threshold: float = THRESHOLD) -> None:
         p = n / max(total, 1)
         pmi = np.log(np.maximum(p, 1e-12) / np.maximum(left[pairs // CLASSES] * right[pairs % CLASSES] / max(total, 1) ** 2, 1e-12))
         self.floor = float(np.log(1e-7))
         self.logp = np.full(CLASSES * CLASSES, self.floor, np.float32)
         self.logp[pairs] = np.log(np.maximum(p, 1e-7))
+        #: What text of the corpus has at least on average: each pair counts once a document, so rare ones weigh more.
+        self.usual = float((n * self.logp[pairs]).sum() / max(n.sum(), 1))
+        beyond = (pairs // CLASSES >= 128) & (pairs % CLASSES >= 128)
+        p_rest = np.where(beyond, np.minimum(n, rest), n) / max(total, 1)
+        self.elsewhere = np.full(CLASSES * CLASSES, self.floor, np.float32)
+        self.elsewhere[pairs] = np.log(np.maximum(p_rest, 1e-7))
+        self.weight = self._weights(pairs, p_rest, pmi, threshold)
+        self.narrow = self._weights(pairs, p, pmi, threshold)
+        self.seen: dict[str, str | None] = {}
+
+    @staticmethod
+    def _weights(pairs: np.ndarray, p: np.ndarray, pmi: np.ndarray, threshold: float) -> np.ndarray:
         weight = np.full(CLASSES * CLASSES, 3.0, np.float32)
         weight[pairs] = np.clip(np.log(threshold / np.maximum(p * np.maximum(pmi, 0.5), 1e-12)), -4, 3)
         square = weight.reshape(CLASSES, CLASSES)
         square[:128, :128] = np.minimum(square[:128, :128], -0.5)  # no wrong reading gives plain ASCII pairs
-        self.weight = weight
-        self.seen: dict[str, str | None] = {}
+        return weight
 
     def pairs(self, text: str) -> np.ndarray:
         c = classes(text)
@@ -81,8 +107,19 @@ class Model:
     def mean(self, text: str) -> float:
         return float(self.logp[self.pairs(f" {text} ")].mean())
 
-    def sum(self, text: str) -> float:
-        return float(self.logp[self.pairs(f" {text} ")].sum())
+    def gains(self, now: str, candidate: str, was: str) -> bool:
+        """Whether the candidate is clearly more probable, in the corpus or without the group that has most of a pair.
+
+        The second must also give usual text: what only one site writes is improbable elsewhere without being damage.
+        """
+        usual = self.mean(candidate) >= self.usual
+        for logp in (self.logp, self.elsewhere) if usual else (self.logp,):
+            a, b = logp[self.pairs(f" {now} ")], logp[self.pairs(f" {candidate} ")]
+            gain = float(b.mean()) - float(a.mean())
+            # Fewer characters must not count as an improvement by themselves, nor one lucky pair in a long run.
+            if gain >= GAIN or (was == "utf-8" and gain > 0 and float(b.sum()) - float(a.sum()) >= 6):
+                return True
+        return False
 
 
 def segments(weights: list[float], drop: float = DROP, least: float = SEGMENT_SCORE) -> list[tuple[int, int]]:
@@ -169,40 +206,53 @@ def invert(text: str, read_as: str, was: str) -> str | None:
     return out_text if greek >= 2 and greek >= 0.9 * len(letters) else None
 
 
+def _runs(text: str, weights: np.ndarray) -> list[tuple[int, int]]:
+    """Improbable runs of whole words."""
+    runs: list[tuple[int, int]] = []
+    if (weights > 0).any():
+        for a, b in segments(weights.tolist()):
+            a, b = max(a - 1, 0), min(b, len(text))  # pair i of the padded text ends at character i of the text
+            while a > 0 and not text[a - 1].isspace():
+                a -= 1
+            while b < len(text) and not text[b].isspace():
+                b += 1
+            if runs and a <= runs[-1][1]:
+                runs[-1] = (runs[-1][0], max(b, runs[-1][1]))
+            else:
+                runs.append((a, b))
+    return runs
+
+
 def repair(text: str, model: Model, depth: int = 3) -> tuple[str, list[tuple[int, int]], bool]:
     """(restored text, damaged runs of the given text, all restored)."""
     if not text:
         return text, [], True
-    runs: list[tuple[int, int]] = []
+    found: list[tuple[int, int, str]] = []
     if len(text) > 1:
-        padded = f" {text} "
-        w = model.weight[model.pairs(padded)]
-        if (w > 0).any():
-            for a, b in segments(w.tolist()):
-                a, b = max(a - 1, 0), min(b, len(text))  # pair i of the padded text ends at character i of the text
-                while a > 0 and not text[a - 1].isspace():
-                    a -= 1
-                while b < len(text) and not text[b].isspace():
-                    b += 1
-                if runs and a <= runs[-1][1]:
-                    runs[-1] = (runs[-1][0], max(b, runs[-1][1]))
+        at = model.pairs(f" {text} ")
+        wide = _runs(text, model.weight[at])
+        # A run that no mapping fits may hold shorter ones that are improbable in the whole corpus.
+        for runs in (wide, [r for r in _runs(text, model.narrow[at]) if r not in wide]) if wide else ():
+            held = list(found)
+            for a, b in runs:
+                if any(a < y and x < b for x, y, _ in held):
+                    continue
+                run = text[a:b]
+                if len(run) > 40:
+                    best = _best(run, model, depth)
+                elif run in model.seen:
+                    best = model.seen[run]
                 else:
-                    runs.append((a, b))
+                    if len(model.seen) > 100_000:
+                        model.seen.clear()
+                    best = model.seen[run] = _best(run, model, depth)
+                if best is not None:
+                    found.append((a, b, best))
     out, last, damaged, whole = [], 0, [], True
-    for a, b in runs:
-        run = text[a:b]
-        if len(run) > 40:
-            best = _best(run, model, depth)
-        elif run in model.seen:
-            best = model.seen[run]
-        else:
-            if len(model.seen) > 100_000:
-                model.seen.clear()
-            best = model.seen[run] = _best(run, model, depth)
-        if best is not None:
-            out += [text[last:a], best]
-            last = b
-            damaged.append((a, b))
+    for a, b, best in sorted(found):
+        out += [text[last:a], best]
+        last = b
+        damaged.append((a, b))
     fixed = "".join([*out, text[last:]])
     if LOST in fixed:
         whole = False
@@ -221,11 +271,8 @@ def _best(run: str, model: Model, depth: int) -> str | None:
                 if read_as == was:
                     continue
                 candidate = invert(now, read_as, was)
-                if candidate is not None and candidate != now:
-                    gain = model.mean(candidate) - base
-                    # Fewer characters must not count as an improvement by themselves, nor one lucky pair in a long run.
-                    if gain >= GAIN or (was == "utf-8" and gain > 0 and model.sum(candidate) - model.sum(now) >= 6):
-                        options.append((model.mean(candidate), candidate))
+                if candidate is not None and candidate != now and model.gains(now, candidate, was):
+                    options.append((model.mean(candidate), candidate))
         if not options:
             # Twice-read text may gain nothing in its first step.
             twice = [y for r in ("cp1252", "latin-1") if not changed and (x := invert(now, r, "utf-8")) and x != now for r2 in ("cp1252", "latin-1", "cp1253") if (y := invert(x, r2, "utf-8")) and y != x and model.mean(y) - base >= GAIN]
@@ -237,16 +284,23 @@ def _best(run: str, model: Model, depth: int) -> str | None:
 
 
 def build(docs: DataFrame) -> tuple[np.ndarray, ...]:
-    """What Model needs: pairs, counts, total and marginal counts, all over the whole corpus."""
-    counts = pair_counts(docs).persist()
-    total = int(counts.agg(F.sum("n")).first()[0] or 0)
+    """What Model needs: pairs, counts, counts without the group that has most, total and marginal counts, all over the whole corpus."""
+    parts = pair_counts(docs).persist()
+    share = {r.part: r.n for r in parts.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    total = sum(n for part, n in share.items() if part < GROUPS)
+    # An evenly spread pair has (n - own) / (1 - share) = n.
+    others = F.create_map(*[F.lit(x) for part, n in share.items() for x in (part, 1 - n / max(total, 1))]) if share else F.lit(None)
+    pair = parts.groupBy("pair").agg(F.sum(F.when(F.col("part") < GROUPS, F.col("n"))).alias("n"), F.collect_list(F.struct("part", F.col("n").alias("own"))).alias("by"))
+    without = F.transform("by", lambda x: F.when(others[x["part"]] >= HALF, (F.col("n") - x["own"]) / others[x["part"]]) if share else F.lit(None).cast("double"))
+    counts = pair.select("pair", "n", F.coalesce(F.array_min(without), F.col("n")).alias("rest")).persist()
     left, right = np.zeros(CLASSES), np.zeros(CLASSES)
     for side, col in ((left, F.floor(F.col("pair") / CLASSES)), (right, F.col("pair") % CLASSES)):
         for r in counts.groupBy(col.alias("c")).agg(F.sum("n").alias("n")).collect():
             side[int(r[0])] = r[1]
     kept = counts.where(F.col("n") >= max(1.0, LEAST * total)).toPandas()
     counts.unpersist()
-    return kept["pair"].to_numpy(np.int64), kept["n"].to_numpy(np.float64), total, left, right
+    parts.unpersist()
+    return kept["pair"].to_numpy(np.int64), kept["n"].to_numpy(np.float64), kept["rest"].to_numpy(np.float64), total, left, right
 
 
 LINE = "doc_id bigint, line_no bigint, damaged string, restored string, complete boolean"
