@@ -103,6 +103,17 @@ def test_screen_loses_no_repetitive_document():
             assert repetition.ratios(compress, data)[0] <= repetition.band(len(data))[0]
 
 
+def test_repetition_of_other_scripts_is_found(spark):
+    r = random.Random(3)
+    texts = []
+    for n in (150, 600, 3000):
+        for letters in ("abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789"):
+            ws = ["".join(r.choice(letters) for _ in range(r.randrange(3, 9))) for _ in range(n)]
+            texts.append(" ".join(ws + ws[: n // 2 + 1]))
+    got = {x.doc_id: x.verdict for x in repetition.measure(frame(spark, texts)).collect()}
+    assert set(got.values()) == {"repetitive"} and len(got) == 6
+
+
 def test_site_lines(spark, rows):
     texts = [f"Όροι  χρήσης {i} της σελίδας\nμοναδική γραμμή {greek(i, 4)}" for i in range(4)] + ["ΟΡΟΙ ΧΡΗΣΗΣ 77 ΤΗΣ ΣΕΛΙΔΑΣ \n\nάλλο", *EDGE]
     df = frame(spark, texts)

@@ -1,8 +1,9 @@
 """Problem 3: repetition inside a single document.
 
 Compression bands: the folded text is compressed with zstandard as a whole and in fixed chunks. Repetitive text
-compresses better than a limit that depends on its length; text without redundancy compresses hardly at all. Documents
-inside the repetitive band are measured exactly: the share of words in five-word runs that have begun before.
+compresses better than a limit that depends on its length; text without redundancy compresses hardly at all. The ratios
+depend on the alphabet too, so they decide nothing about repetition: every document is measured exactly, by the share of
+words in five-word runs that have begun before.
 Everything happens in one narrow pass; nothing is shuffled.
 """
 
@@ -21,8 +22,8 @@ CHUNK_BYTES = 2048
 RUN = 5
 SHARE = 1 / 3
 #: (bytes of folded text up to, whole ratio that is repetitive at or below it, whole ratio that is incompressible at or above it).
-#: The lower limits are what text of random letters, which nothing but repetition compresses, comes to with a third of its
-#: words repeated, and a tenth more; any other text of that kind lies below them.
+#: The lower limits are what text of random Greek letters comes to with a third of its words repeated, and a tenth more.
+#: Other scripts can lie above them, so they describe and do not screen.
 BANDS = [(150, 0.75, 1.2), (400, 0.68, 1.1), (1000, 0.46, 0.95), (3000, 0.36, 0.9), (10_000, 0.33, 0.85), (1 << 62, 0.32, 0.8)]
 
 
@@ -73,8 +74,8 @@ SCHEMA = "doc_id bigint, n_words bigint, whole_ratio double, least_chunk_ratio d
 def measure(docs: DataFrame, columns: tuple[str, str] = ("doc_id", "text")) -> DataFrame:
     """One row a document: ratios, verdict (repetitive, incompressible, normal, empty) and the repeated share.
 
-    `repeated_share` is exact for documents in the repetitive band and 0 beyond it. Null and empty texts are `empty`
-    with share 0; texts below five words have share 0.
+    `repeated_share` is exact for every document. Null and empty texts are `empty` with share 0; texts below five words
+    have share 0.
     """
 
     def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
@@ -85,15 +86,14 @@ def measure(docs: DataFrame, columns: tuple[str, str] = ("doc_id", "text")) -> D
                 ws = words(text)
                 data = " ".join(ws).encode()
                 whole, least, mean = ratios(compress, data)
-                low, high = band(len(data))
-                share = 0.0
+                again = repeated_words(ws)
                 if not ws:
                     verdict = "empty"
-                elif whole <= low:
-                    share = repeated_words(ws) / len(ws)
-                    verdict = "repetitive" if share * 3 >= 1 else "normal"
+                elif again * 3 >= len(ws):
+                    verdict = "repetitive"
                 else:
-                    verdict = "incompressible" if whole >= high else "normal"
+                    verdict = "incompressible" if whole >= band(len(data))[1] else "normal"
+                share = again / len(ws) if ws else 0.0
                 yield i, len(ws), whole, least, mean, verdict, share
 
         return f
