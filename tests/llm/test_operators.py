@@ -114,6 +114,13 @@ def test_repetition_of_other_scripts_is_found(spark):
     assert set(got.values()) == {"repetitive"} and len(got) == 6
 
 
+def test_share_is_exact_above_the_band(spark):
+    ws = greek(7, 400).split()
+    ws += ws[:40]
+    got = repetition.measure(frame(spark, [" ".join(ws)])).first()
+    assert got.verdict == "normal" and got.repeated_share == pytest.approx(plain_repeats(ws) / len(ws)) and got.repeated_share > 0.09
+
+
 def test_site_lines(spark, rows):
     texts = [f"Όροι  χρήσης {i} της σελίδας\nμοναδική γραμμή {greek(i, 4)}" for i in range(4)] + ["ΟΡΟΙ ΧΡΗΣΗΣ 77 ΤΗΣ ΣΕΛΙΔΑΣ \n\nάλλο", *EDGE]
     df = frame(spark, texts)
