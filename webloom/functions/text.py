@@ -11,8 +11,13 @@ WORD = "^[\\p{L}\\p{N}_]"
 
 
 def ratio(a: Column, b: Column) -> Column:
-    """a / b as a double rounded to 6 digits; 0 where b is 0 or null."""
-    return F.round(F.when(b > 0, a / b).otherwise(0.0), 6)
+    """a / b as a double; 0 where b is 0 or null. Not rounded, as thresholds are compared with it."""
+    return F.when(b > 0, a.cast("double") / b).otherwise(0.0)
+
+
+def rounded(*names: str) -> dict[str, Column]:
+    """Columns rounded to 6 digits, for output only."""
+    return {n: F.round(n, 6) for n in names}
 
 
 def tokens(text: Column) -> Column:
@@ -31,8 +36,3 @@ def lines(text: Column) -> Column:
 def shown(line: Column) -> Column:
     """A line with something visible in it."""
     return line.rlike(f"[^{BLANK}]")
-
-
-def folded(text: Column) -> Column:
-    """Lower case with final sigma as sigma, the same in every engine."""
-    return F.regexp_replace(F.lower(text), "ς", "σ")

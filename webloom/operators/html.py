@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from typing import Any
@@ -12,20 +13,23 @@ from pyspark.sql import functions as F
 
 from webloom.functions.arrow import map_rows
 
-MAX_BYTES = 20_000_000
-#: (pattern, replacement) in order; no look-around, so that other engines give the same.
+#: Seconds a page may take, as in the reference's settings; slower ones are dropped like pages without content.
+TIMEOUT_SECONDS = 10.0
+_SLICE = 1 << 16
+_DROPPED = ("script", "style", "head", "nav", "footer", "aside", "form", "noscript")
+_BLOCKS = "p|div|h[1-6]|li|tr|ul|ol|table|article|section|main|blockquote"
+#: (pattern, replacement) in order. Each dropped element ends at its own closing tag, and a tag's name ends where it does.
 CHAIN = [
     ("(?is)<!--.*?-->", " "),
-    ("(?is)<(script|style|head|nav|footer|aside|form|noscript)[^>]*>.*?</(script|style|head|nav|footer|aside|form|noscript)>", " "),
-    ("(?is)<(p|div|br|h[1-6]|li|tr|ul|ol|table|article|section|main|blockquote)[^>]*>", "\n"),
-    ("(?is)</(p|div|h[1-6]|li|tr|ul|ol|table|article|section|main|blockquote)>", "\n"),
+    *[(f"(?is)<{t}(?:\\s[^>]*)?>.*?</{t}\\s*>", " ") for t in _DROPPED],
+    (f"(?is)</?(?:{_BLOCKS}|br)(?:[\\s/][^>]*)?>", "\n"),
     ("(?s)<[^>]*>", ""),
-    ("&amp;", "&"),
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&quot;", "\""),
     ("&#39;", "'"),
     ("&nbsp;", " "),
+    ("&amp;", "&"),
     ("[ \t\r\f]+", " "),
     (" ?\n[ \n]*", "\n"),
 ]
@@ -73,12 +77,17 @@ class _Blocks(HTMLParser):
                 self.blocks[-1][1] += len(data.strip())
 
 
-def main_text(html: str | None, most_links: float = 0.33, least_words: int = 4) -> str | None:
-    """Blocks with few linked characters and some words, one a line; None if nothing is left (the page is dropped)."""
-    if not html or len(html) > MAX_BYTES:
+def main_text(html: str | None, most_links: float = 0.33, least_words: int = 4, timeout: float = TIMEOUT_SECONDS) -> str | None:
+    """Blocks with few linked characters and some words, one a line; None if nothing is left or the time is over (the page is dropped).
+
+    The page is read in slices, whatever its length, and the clock is looked at between them."""
+    if not html:
         return None
-    parser = _Blocks()
-    parser.feed(html)
+    parser, end = _Blocks(), time.monotonic() + timeout
+    for i in range(0, len(html), _SLICE):
+        parser.feed(html[i : i + _SLICE])
+        if time.monotonic() > end:
+            return None
     parser.close()
     out = []
     for text, linked in parser.blocks:
