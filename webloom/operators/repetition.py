@@ -92,4 +92,4 @@ def ngram_fractions(docs: DataFrame, profile: Profile = GREEK) -> DataFrame:
         return f
 
     schema = T.StructType([*[docs.schema[c] for c in rest], *[T.StructField(n, T.DoubleType()) for n in names]])
-    return map_rows(docs, ["text", *rest], schema, make).withColumns({n: F.round(n, 6) for n in names})
+    return map_rows(docs, ["text", *rest], schema, make)

@@ -2,51 +2,52 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.operators import cleanup, language, minhash, quality, url
+from webloom.operators import minhash, quality, url
+from webloom.operators.language import Scorer
 from webloom.plans.profile import GREEK, Profile
-from webloom.session import cut
+from webloom.session import cut, small
 
+Lists = dict[str, DataFrame]
 
-def reasons(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True) -> DataFrame:
-    """(doc_id, reason): the first filter in pipeline order that drops a document, null for survivors.
 
-    One scan and no shuffle: a document that an earlier, cheaper filter drops goes on with a null text, which later
-    filters pass through for almost nothing.
-    """
-    ban = url.verdict(F.col("url"), F.col("url_host_registered_domain"), profile)
-    tested = docs.select("doc_id", ban.alias("ban"), F.when(ban.isNull(), F.col("text")).alias("text"))
-    scored = language.scores(tested, profile)
-    ok = language.passes(profile)
-    good = scored.select("doc_id", "ban", ok.alias("in_language"), F.when(ok, F.col("text")).alias("text"))
-    judged = quality.first_reason(quality.measures(good, profile, n_grams), profile)
-    early = F.when(F.col("ban").isNotNull(), F.concat(F.lit("url_"), "ban")).when(~F.col("in_language"), F.lit("language"))
-    return judged.select("doc_id", F.coalesce(early, "reason").alias("reason"))
+def judged(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True, lists: Lists | None = None, scorer: Callable[[], Scorer] | None = None, formatted: bool = False) -> DataFrame:
+    """All columns, language labels and `reason`; one scan, one Arrow pass, no shuffle of texts."""
+    return quality.judged(url.banned(docs, lists, profile), profile, n_grams, scorer, formatted=formatted).drop("ban")
 
 
-def formatted(docs: DataFrame) -> DataFrame:
-    """Repair, redaction and symbol lines, in this order, on the text."""
-    return docs.withColumn("text", cleanup.symbol_lines(cleanup.redact_addresses(cleanup.repair(F.col("text")))))
+def reasons(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True, lists: Lists | None = None) -> DataFrame:
+    """(doc_id, reason): the first filter in pipeline order that drops a document, null for survivors."""
+    own = docs.select("doc_id", "url", "url_host_registered_domain", "text")
+    return judged(own, profile, n_grams, lists).select("doc_id", "reason")
 
 
-def survivors(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True) -> DataFrame:
-    """doc_id of the documents that pass all filters."""
-    return reasons(docs, profile, n_grams).where("reason is null").select("doc_id")
+def stage_one(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True, lists: Lists | None = None, scorer: Callable[[], Scorer] | None = None) -> DataFrame:
+    """Surviving documents with formatted text: all columns of the input, language, language_score, language_script."""
+    return judged(docs, profile, n_grams, lists, scorer, formatted=True).where("reason is null").drop("reason")
 
 
-def stage_one(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True) -> DataFrame:
-    """Surviving documents with formatted text; all columns of the input."""
-    return formatted(docs.join(survivors(docs, profile, n_grams), "doc_id", "left_semi"))
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """Documents without near-duplicates, with cluster_id and cluster_size. `docs` is read twice, so give a stored table.
+
+    Texts meet the documents to be removed and the sizes of clusters, both broadcast if they are few; most documents are
+    in no cluster, so neither list holds them.
+    """
+    clustered = cut(minhash.clusters(docs).where("cluster_size > 1"))
+    kept = cut(minhash.keep_one(docs, clustered))
+    removed = clustered.join(kept.select("doc_id"), "doc_id", "left_anti").select("doc_id")
+    left = docs.join(small(removed), "doc_id", "left_anti").join(small(kept), "doc_id", "left")
+    return left.withColumns({"cluster_id": F.coalesce("cluster_id", "doc_id"), "cluster_size": F.coalesce("cluster_size", F.lit(1)).cast("bigint")})
 
 
 def full(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True) -> DataFrame:
     """Stage one and near-duplicate removal: doc_id, url, text, cluster_id, cluster_size of the documents kept.
 
-    The filters run once: the ids of their survivors are cut, and later steps join them by id.
+    Stage one runs once and is cut; signatures and the result are read from there.
     """
-    ids = cut(survivors(docs, profile, n_grams))
-    passed = formatted(docs.join(ids, "doc_id", "left_semi"))
-    kept = minhash.keep_one(passed, minhash.clusters(passed))
-    return passed.select("doc_id", "url", "text").join(kept, "doc_id")
+    own = docs.select("doc_id", "url", "url_host_registered_domain", "text", "warc_filename", "warc_record_offset")
+    return deduplicated(cut(stage_one(own, profile, n_grams))).select("doc_id", "url", "text", "cluster_id", "cluster_size")

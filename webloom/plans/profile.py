@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, fields, replace
+from pathlib import Path
+from typing import Any
 
 
 @dataclass(frozen=True)
@@ -10,7 +13,6 @@ class Profile:
     """Thresholds and word lists; the defaults are those for Greek in Greek script."""
 
     language: str = "ell"
-    script: str = "Grek"
     # Thresholds of the language's filter settings.
     language_score: float = 0.826
     keep_pairs: float = 0.01
@@ -58,3 +60,28 @@ class Profile:
 
 
 GREEK = Profile()
+
+#: Names of settings in the reference's files where they differ from the fields here.
+SETTINGS = {"line_punct_thr": "line_punct", "max_non_alpha_words_ratio": "min_alpha_ratio", "stopwords": "stop_words"}
+
+
+def _plain(value: Any) -> Any:
+    return tuple(map(_plain, value)) if isinstance(value, list) else value
+
+
+def load(path: str, base: Profile = GREEK) -> Profile:
+    """A profile from a settings file (YAML or JSON): its values in place of those of `base`; an unknown name is an error."""
+    text = Path(path).read_text(encoding="utf-8")
+    if path.endswith(".json"):
+        found = json.loads(text)
+    else:
+        try:
+            import yaml
+        except ImportError as e:
+            raise RuntimeError("reading YAML settings needs the yaml package; JSON settings do without") from e
+        found = yaml.safe_load(text)
+    named = {SETTINGS.get(k, k): _plain(v) for k, v in (found or {}).items()}
+    unknown = set(named) - {f.name for f in fields(Profile)}
+    if unknown:
+        raise ValueError(f"unknown settings: {sorted(unknown)}")
+    return replace(base, **named)
