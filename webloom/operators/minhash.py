@@ -1,4 +1,7 @@
-"""Near-duplicate removal over a whole crawl: MinHash signatures, bands, components, one document a cluster."""
+"""Near-duplicate removal over a whole crawl: MinHash signatures, bands, components, one document a cluster.
+
+Shingles have 64-bit hashes; a portable form with short hashes is what other engines can compute too.
+"""
 
 from __future__ import annotations
 
@@ -9,10 +12,12 @@ from typing import Any
 
 import numpy as np
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions.arrow import map_rows
+from webloom.functions.joins import salted
 from webloom.session import cut
 
 BANDS, ROWS, SHINGLE, PRIME = 14, 8, 5, (1 << 31) - 1
@@ -40,13 +45,44 @@ def shingle_hashes(words: list[str], n: int = SHINGLE) -> np.ndarray:
     return np.fromiter((int(hashlib.md5(g.encode(), usedforsecurity=False).hexdigest()[:7], 16) for g in grams), np.int64, len(grams))
 
 
+def wide_hashes(words: list[str], n: int = SHINGLE) -> np.ndarray:
+    """64-bit hashes of the distinct shingles."""
+    grams = {" ".join(words[i : i + n]) for i in range(len(words) - n + 1)}
+    return np.fromiter((xxhash.xxh3_64_intdigest(g) for g in grams), np.uint64, len(grams))
+
+
 def minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, each: int = 2048) -> np.ndarray:
-    out = np.full(len(a), PRIME, np.int64)
+    """Least of (a h + b) over the hashes for each (a, b): modulo PRIME for signed, modulo 2^64 for unsigned numbers."""
+    wide = hashes.dtype == np.uint64
+    out = np.full(len(a), np.iinfo(np.uint64).max if wide else PRIME, hashes.dtype)
     for i in range(0, len(hashes), each):
-        np.minimum(out, ((hashes[i : i + each, None] * a + b) % PRIME).min(0), out=out)
+        mixed = hashes[i : i + each, None] * a + b
+        np.minimum(out, (mixed if wide else mixed % PRIME).min(0), out=out)
     return out
 
 
+def sketches(docs: DataFrame, portable: bool = False) -> DataFrame:
+    """(doc_id, sketch, buckets) of documents with at least SHINGLE words: a digest of the signature and one of each band. Narrow."""
+    ab = permutations()
+    r = random.Random(2)
+    wide = [(r.getrandbits(64) | 1, r.getrandbits(64)) for _ in range(BANDS * ROWS)]
+
+    def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
+        a, b = (np.array(x, np.int64 if portable else np.uint64) for x in zip(*(ab if portable else wide), strict=True))
+        hashes = shingle_hashes if portable else wide_hashes
+
+        def f(ids: list[int], texts: list[str | None]) -> Iterator[tuple[Any, ...]]:
+            for i, text in zip(ids, texts, strict=True):
+                h = hashes(normal_words(text))
+                if len(h):
+                    rows = minima(h, a, b)
+                    yield i, xxhash.xxh3_128_digest(rows.tobytes()), [xxhash.xxh3_128_digest(bytes([k]) + rows[k * ROWS : (k + 1) * ROWS].tobytes()) for k in range(BANDS)]
+
+        return f
+
+    return map_rows(docs, ["doc_id", "text"], "doc_id bigint, sketch binary, buckets array<binary>", make)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, signature) of documents with at least SHINGLE words; narrow."""
     ab = permutations()
@@ -73,33 +109,56 @@ def bands(signed: DataFrame) -> DataFrame:
 
 def pairs(banded: DataFrame) -> DataFrame:
     """Star edges (u, v), u < v: every document of a bucket with the bucket's least. Same components as all pairs."""
-    least = banded.groupBy("band", "bucket").agg(F.min("doc_id").alias("u"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return banded.join(least, ["band", "bucket"]).where(F.col("doc_id") > F.col("u")).select("u", F.col("doc_id").alias("v")).distinct()
+    return _stars(banded, ["band", "bucket"]).distinct()
+
+
+def _stars(rows: DataFrame, keys: list[str]) -> DataFrame:
+    least = rows.groupBy(*keys).agg(F.min("doc_id").alias("u"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return salted(rows, least, keys, "inner", "doc_id").where(F.col("doc_id") > F.col("u")).select("u", F.col("doc_id").alias("v"))
+
+
+def edges(sketched: DataFrame) -> DataFrame:
+    """Star edges (u, v) by way of equal sketches: of each group of equal ones only the least document goes into buckets.
+
+    So copies, however many, make one row a bucket; they are tied to their least document by one edge each.
+    """
+    first = sketched.groupBy("sketch").agg(F.min(F.struct("doc_id", "buckets")).alias("f")).select("f.doc_id", F.explode("f.buckets").alias("bucket"))
+    return _stars(sketched.select("doc_id", "sketch"), ["sketch"]).unionByName(_stars(first, ["bucket"])).distinct()
+
+
+#: A vertex with this share of all edge ends is met by broadcast; there are at most 1 / HOT_SHARE of them.
+HOT_SHARE = 1e-4
 
 
-def components(edges: DataFrame, most: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(doc_id, cluster_id): connected components by least label with short cuts; cluster_id is the least document.
 
     Each round takes the least label over the edges, then follows labels of labels, so long chains shrink by doubling.
-    Rounds are cut by reliable checkpoints; an error if labels still change after `most` rounds.
+    Labels only fall, so the rounds end by themselves when none changes. Rounds are cut by reliable checkpoints. The
+    neighbours of a vertex with many edges are met by broadcasting its label, not in one task.
     """
     both = cut(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    hot = cut(both.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(1000.0, HOT_SHARE * both.count())).select("v"))
+    busy, rest = (both.join(F.broadcast(hot), "v", how) for how in ("left_semi", "left_anti"))
+    any_hot = not hot.isEmpty()
     labels = cut(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label")))
-    for _ in range(most):
-        near = both.join(labels.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("label").alias("near"))
+    while True:
+        by_v = labels.withColumnRenamed("u", "v")
+        met = rest.join(by_v, "v").select("u", "label")
+        if any_hot:
+            met = met.unionByName(busy.join(F.broadcast(by_v.join(F.broadcast(hot), "v", "left_semi")), "v").select("u", "label"))
+        near = met.groupBy("u").agg(F.min("label").alias("near"))
         step = labels.join(near, "u").select("u", "label", F.least("label", "near").alias("next"))
         jump = labels.select(F.col("u").alias("next"), F.col("label").alias("far"))
         new = cut(step.join(jump, "next", "left").select("u", "label", F.least("next", F.coalesce("far", "next")).alias("next")))
         if new.where("label <> next").isEmpty():
             return new.select(F.col("u").alias("doc_id"), F.col("next").alias("cluster_id"))
         labels = new.select("u", F.col("next").alias("label"))
-    raise RuntimeError("components did not settle")
 
 
-def clusters(docs: DataFrame) -> DataFrame:
+def clusters(docs: DataFrame, portable: bool = False) -> DataFrame:
     """(doc_id, cluster_id, cluster_size) of every document; a document alone is its own cluster."""
-    banded = cut(bands(signatures(docs)))
-    found = components(pairs(banded))
+    found = components(edges(cut(sketches(docs, portable))))
     sizes = found.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("cluster_size"))
     return docs.select("doc_id").join(found.join(sizes, "cluster_id"), "doc_id", "left").select("doc_id", F.coalesce("cluster_id", "doc_id").alias("cluster_id"), F.coalesce("cluster_size", F.lit(1)).cast("bigint").alias("cluster_size"))
 
