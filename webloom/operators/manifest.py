@@ -11,6 +11,8 @@ from webloom.plans.profile import GREEK, Profile
 
 COLUMNS = ["url", "url_host_registered_domain", "content_digest", "content_languages", "warc_filename", "warc_record_offset", "warc_record_length"]
 ORDER = ["warc_filename", "warc_record_offset"]
+#: Bytes of a record file whose rows are numbered together.
+BLOCK_BYTES = 1 << 28
 
 
 def has_language(codes: Column, code: str) -> Column:
@@ -47,15 +49,23 @@ def union(fragments: list[DataFrame], spark: SparkSession) -> DataFrame:
 
 
 def with_row_index(manifest: DataFrame) -> DataFrame:
-    """Rows numbered from 0 in manifest order, without sorting them in one task.
+    """Rows numbered from 0 in manifest order, without sorting them in one task. Null files come first.
 
-    Counts of each file are summed up over the files (one small row a file), and rows are numbered within their file.
+    Counts of each file and block of offsets are summed up (one small row a block), and rows are numbered within theirs, so
+    that a file with a third of all rows is many tasks' work.
     """
-    per_file = manifest.groupBy("warc_filename").agg(F.count(F.lit(1)).alias("n"))
+    rest = [c for c in manifest.columns if c not in ORDER]
+    own = manifest.withColumn("_block", F.floor(F.col("warc_record_offset") / BLOCK_BYTES))
+    keys = ["warc_filename", "_block"]
+    per_block = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    in_file = F.coalesce(F.sum("n").over(Window.partitionBy("warc_filename").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = per_block.groupBy("warc_filename").agg(F.sum("n").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("warc_filename").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = per_file.select("warc_filename", before.alias("_start"))
-    own = F.row_number().over(Window.partitionBy("warc_filename").orderBy("warc_record_offset", *[c for c in manifest.columns if c not in ORDER]))
-    return manifest.withColumn("_own", own).join(starts, "warc_filename").withColumn("row_idx", (F.col("_start") + F.col("_own") - 1).cast("bigint")).drop("_own", "_start").select("row_idx", *manifest.columns)
+    starts = files.select(F.col("warc_filename").alias("_f"), before.alias("_start"))
+    blocks = per_block.withColumn("_in_file", in_file).join(starts, F.col("warc_filename").eqNullSafe(F.col("_f"))).select(F.col("warc_filename").alias("_f"), F.col("_block").alias("_b"), (F.col("_start") + F.col("_in_file")).alias("_start"))
+    k = F.row_number().over(Window.partitionBy(*keys).orderBy("warc_record_offset", *rest))
+    met = own.withColumn("_own", k).join(blocks, F.col("warc_filename").eqNullSafe(F.col("_f")) & F.col("_block").eqNullSafe(F.col("_b")))
+    return met.select((F.col("_start") + F.col("_own") - 1).cast("bigint").alias("row_idx"), *manifest.columns)
 
 
 def slice_rows(indexed: DataFrame, offset: int = 0, limit: int = -1) -> DataFrame:
@@ -85,17 +95,24 @@ def chunk_name(offset: Column) -> Column:
     return F.concat(F.lit("chunk_"), F.lpad(offset.cast("string"), 12, "0"))
 
 
-def prefix_end(offsets: set[int]) -> int:
-    """Where the published chunks end: 0 for none; an error unless they are 0, step, 2 step, ... with a known step."""
-    if not offsets:
-        return 0
-    have = sorted(offsets)
-    if len(have) == 1:
-        raise ValueError("one chunk alone does not tell the step")
-    step = have[1] - have[0]
-    if have != [i * step for i in range(len(have))]:
-        raise ValueError(f"published chunks have a gap: {have}")
-    return have[-1] + step
+def resume_point(published: DataFrame) -> DataFrame:
+    """(n_chunks, next_row, error) of published chunks (start_row, each once): where extraction goes on.
+
+    Chunks must cover the rows from 0 without a gap at one distance; none at all is row 0, and of one alone the distance is
+    unknown. Where that fails `error` says why and next_row is null.
+    """
+    step = F.col("start_row") - F.lag("start_row").over(Window.orderBy("start_row"))  # one row a chunk, no data rows
+    facts = published.select("start_row", step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("start_row").alias("least"), F.max("start_row").alias("most"), F.min("step").alias("shortest"), F.max("step").alias("longest"))
+    error = F.when(F.col("n") == 0, None).when(F.col("least") != 0, "the first chunk is missing").when(F.col("n") == 1, "one chunk alone does not tell the distance").when(F.col("shortest") != F.col("longest"), "a chunk is missing or of another size")
+    return facts.select(F.col("n").cast("int").alias("n_chunks"), F.when(error.isNull(), F.coalesce(F.col("most") + F.col("longest"), F.lit(0))).cast("bigint").alias("next_row"), error.alias("error"))
+
+
+def resume_row(published: DataFrame) -> int:
+    """The row at which extraction goes on; an error if the published chunks do not tell it."""
+    got = resume_point(published).first()
+    if got["error"]:
+        raise ValueError(got["error"])
+    return int(got["next_row"])
 
 
 def bucket_tasks(tasks: int, buckets: int = 14) -> int:

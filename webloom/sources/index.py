@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from webloom.operators.manifest import union
 
+#: The columns of the crawl index that are read; parts written at other times may hold more or order them otherwise.
+INDEX = "url string, url_host_registered_domain string, content_digest string, content_languages string, content_mime_detected string, fetch_status int, warc_filename string, warc_record_offset bigint, warc_record_length bigint"
+
 
 def part_paths(paths: DataFrame, crawl: str, root: str) -> DataFrame:
     """(part_index, part_url) of the lines of a path list (column value) that belong to a crawl's record subset, in order of path."""
@@ -19,11 +22,12 @@ def path_list(spark: SparkSession, file: str) -> DataFrame:
     return spark.read.text(file)
 
 
-def scan(spark: SparkSession, *paths: str) -> DataFrame:
-    """Fragments at paths or globs as one frame; key=value folders are not read as columns."""
+def scan(spark: SparkSession, *paths: str, schema: str | None = None) -> DataFrame:
+    """Fragments at paths or globs as one frame; key=value folders are not read as columns. A given schema is not inferred."""
     if not paths:
         return union([], spark)
-    return spark.read.option("recursiveFileLookup", "true").parquet(*paths)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    return (reader.schema(schema) if schema else reader).parquet(*paths)
 
 
 def published_chunks(names: DataFrame, column: str = "name") -> DataFrame:
