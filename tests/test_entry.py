@@ -12,7 +12,7 @@ def test_catalogue_and_sql_fit():
     assert all(re.fullmatch(r"[a-z0-9_]+", k) for k in e.queries())
 
 
-@pytest.mark.parametrize("name", ["manifest_dedup_keep_first", "manifest_row_index", "queue_claim", "quality_first_reason", "lang_score", "url_filter", "rep_top_ngrams"])
+@pytest.mark.parametrize("name", ["manifest_dedup_keep_first", "manifest_row_index", "queue_claim", "quality_first_reason", "lang_score", "url_filter", "rep_top_ngrams", "rep_dup_ngrams", "redact_addresses", "html_extract_text", "repair_text", "symbol_lines", "minhash_clusters", "queue_upsert_crawl", "queue_mark_done", "pipeline_reasons"])
 def test_against_duckdb(spark, name):
     duckdb = pytest.importorskip("duckdb")
     import os

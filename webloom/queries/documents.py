@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.functions.text import TOKEN, is_word, tokens
+from webloom.functions.text import TOKEN, is_word, rounded, tokens
 from webloom.operators import cleanup, html, language, minhash, quality, repetition, url
 from webloom.plans import pipeline
 from webloom.plans.profile import GREEK
@@ -36,8 +36,12 @@ def _best(s: SparkSession, d: str) -> DataFrame:
     return language.scores(docs(s, d).select("doc_id", "text"))
 
 
+def _grams(s: SparkSession, d: str, *names: str) -> DataFrame:
+    return repetition.ngram_fractions(docs(s, d).select("doc_id", "text")).select("doc_id", *names).withColumns(rounded(*names))
+
+
 def _judged(s: SparkSession, d: str) -> DataFrame:
-    return quality.first_reason(quality.measures(docs(s, d).select("doc_id", "text"), n_grams=False)).select("doc_id", "reason")
+    return quality.judged(docs(s, d).select("doc_id", "text"), n_grams=False, by_language=False).select("doc_id", "reason")
 
 
 def _labels(s: SparkSession, d: str) -> DataFrame:
@@ -46,6 +50,29 @@ def _labels(s: SparkSession, d: str) -> DataFrame:
     return _judged(s, d).join(marks, "doc_id").groupBy("quality").agg(F.count(F.lit(1)).alias("n_documents"), F.sum(F.col("reason").isNull().cast("bigint")).alias("n_passed"))
 
 
+def _lists(s: SparkSession) -> dict[str, DataFrame]:
+    """The example block lists as tables."""
+    lists = {"domain": LISTS.blocked_domains, "host": LISTS.blocked_hosts}
+    return {k: s.createDataFrame([(x,) for x in v], "entry string") for k, v in lists.items()}
+
+
+def _by_tables(s: SparkSession, d: str) -> DataFrame:
+    own = docs(s, d).select("doc_id", "url", "url_host_registered_domain")
+    words_only = replace(LISTS, blocked_domains=(), blocked_hosts=())
+    return url.banned(own, _lists(s), words_only).select("doc_id", url.host(F.col("url")).alias("host"), F.col("ban").alias("verdict"))
+
+
+def _restored(s: SparkSession, d: str) -> DataFrame:
+    """Texts that the formatter's undoing of wrongly read UTF-8 changes."""
+    own = docs(s, d).select("doc_id", "text").withColumn("before", F.col("text"))
+    return cleanup.repaired(own).where(F.col("text") != F.col("before")).select("doc_id", "text")
+
+
+LINE_SHARES = ("terminal_frac", "short_frac", "char_dup_frac", "new_line_ratio")
+WORD_SHARES = ("avg_word_length", "alpha_ratio", "hash_ratio", "ellipsis_ratio", "bullet_frac", "ellipsis_frac")
+PIECE_SHARES = ("dup_line_frac", "dup_line_char_frac", "dup_para_frac", "dup_para_char_frac")
+
+
 def _signed(s: SparkSession, d: str) -> DataFrame:
     return minhash.signatures(docs(s, d)).select("doc_id", F.md5(F.array_join("signature", ",")).alias("digest"), F.col("signature")[0].alias("first"), F.col("signature")[111].alias("last"))
 
@@ -56,7 +83,7 @@ def _banded(s: SparkSession, d: str) -> DataFrame:
 
 def _kept(s: SparkSession, d: str) -> DataFrame:
     own = docs(s, d)
-    return minhash.keep_one(own, minhash.clusters(own))
+    return minhash.keep_one(own, minhash.clusters(own, portable=True))
 
 
 def _removed(s: SparkSession, d: str) -> DataFrame:
@@ -66,26 +93,29 @@ def _removed(s: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "url_filter": _verdicts,
     "html_extract_text": lambda s, d: table(s, d, "pages").select("page_id", html.plain_text(F.col("html")).alias("text")),
-    "html_extract_density": lambda s, d: html.density(table(s, d, "pages")),
+    "html_extract_density": lambda s, d: html.density(table(s, d, "pages", spread=True)),
+    "url_filter_tables": _by_tables,
     "tokens_words": _tokens,
-    "lang_score": lambda s, d: _best(s, d).select("doc_id", "language", "language_score"),
-    "lang_threshold": lambda s, d: language.above_threshold(_best(s, d)).select("doc_id", "language_score"),
-    "lang_top_pairs": lambda s, d: language.top_pairs(_best(s, d)),
-    "rep_lines_paragraphs": lambda s, d: repetition.repeated_pieces(docs(s, d)),
-    "rep_top_ngrams": lambda s, d: repetition.ngram_fractions(docs(s, d).select("doc_id", "text")).select("doc_id", "top_2", "top_3", "top_4"),
-    "rep_dup_ngrams": lambda s, d: repetition.ngram_fractions(docs(s, d).select("doc_id", "text")).select("doc_id", *[f"dup_{n}" for n in range(5, 11)]),
-    "qual_lines": lambda s, d: quality.line_measures(docs(s, d).select("doc_id", "text")).drop("text"),
-    "qual_words": lambda s, d: quality.word_measures(docs(s, d).select("doc_id", "text")).drop("text"),
+    "lang_score": lambda s, d: _best(s, d).select("doc_id", "language", "language_score").withColumns(rounded("language_score")),
+    "lang_script": lambda s, d: _best(s, d).select("doc_id", "language_script"),
+    "lang_threshold": lambda s, d: language.above_threshold(_best(s, d)).select("doc_id", "language_score").withColumns(rounded("language_score")),
+    "lang_top_pairs": lambda s, d: language.top_pairs(_best(s, d)).withColumns(rounded("score")),
+    "rep_lines_paragraphs": lambda s, d: repetition.repeated_pieces(docs(s, d)).withColumns(rounded(*PIECE_SHARES)),
+    "rep_top_ngrams": lambda s, d: _grams(s, d, "top_2", "top_3", "top_4"),
+    "rep_dup_ngrams": lambda s, d: _grams(s, d, *[f"dup_{n}" for n in range(5, 11)]),
+    "qual_lines": lambda s, d: quality.line_measures(docs(s, d).select("doc_id", "text")).drop("text").withColumns(rounded(*LINE_SHARES)),
+    "qual_words": lambda s, d: quality.word_measures(docs(s, d).select("doc_id", "text")).drop("text").withColumns(rounded(*WORD_SHARES)),
     "quality_first_reason": _judged,
     "quality_against_labels": _labels,
-    "repair_text": lambda s, d: table(s, d, "pages").select("page_id", cleanup.repair(F.col("html")).alias("text")),
+    "repair_text": lambda s, d: cleanup.repaired(table(s, d, "pages", spread=True).select("page_id", F.col("html").alias("text")), encoding=False),
+    "repair_encoding": _restored,
     "redact_addresses": lambda s, d: docs(s, d).select("doc_id", cleanup.redact_addresses(F.col("text")).alias("text")),
     "symbol_lines": lambda s, d: docs(s, d).select("doc_id", cleanup.symbol_lines(F.regexp_replace("text", ":: ", "\n|\n||\n")).alias("text")),
     "exact_dedup_docs": lambda s, d: minhash.exact_clusters(docs(s, d)),
     "minhash_signature": _signed,
     "minhash_bands": _banded,
     "minhash_pairs": lambda s, d: minhash.pairs(_banded(s, d)),
-    "minhash_clusters": lambda s, d: minhash.clusters(docs(s, d)),
+    "minhash_clusters": lambda s, d: minhash.clusters(docs(s, d), portable=True),
     "minhash_dedup": _kept,
     "minhash_removed": _removed,
     "pipeline_reasons": lambda s, d: pipeline.reasons(docs(s, d)),
@@ -103,14 +133,12 @@ def _list(xs: tuple[str, ...]) -> str:
     return "[" + ", ".join(map(_lit, xs)) + "]"
 
 
-def _chain(expr: str, steps: list[tuple[str, str]]) -> str:
-    for pattern, to in steps:
-        expr = f"regexp_replace({expr}, {_lit(pattern)}, {_lit(to.replace('$1', chr(92) + '1').replace('$2', chr(92) + '2').replace('$3', chr(92) + '3'))}, 'g')"
-    return expr
+def _ratio(a: str, b: str) -> str:
+    return f"(case when {b} > 0 then ({a})::double / ({b}) else 0 end)::double"
 
 
-def _ratio(a: str, b: str) -> str:
-    return f"round((case when {b} > 0 then ({a}) / ({b}) else 0 end)::double, 6)"
+def _rounded(sql: str, names: tuple[str, ...]) -> str:
+    return f"select * replace ({', '.join(f'round({n}, 6) as {n}' for n in names)}) from ({sql})"
 
 
 TOK = f"regexp_extract_all(text, {_lit(TOKEN)})"
@@ -141,13 +169,14 @@ def _chars(a: str) -> str:
 PIECES = f"""select doc_id, {_ratio('len(l) - len(list_distinct(l))', 'len(l)')} as dup_line_frac, {_ratio(f"{_chars('l')} - {_chars('list_distinct(l)')}", 'length(text)')} as dup_line_char_frac,
 {_ratio('len(p) - len(list_distinct(p))', 'len(p)')} as dup_para_frac, {_ratio(f"{_chars('p')} - {_chars('list_distinct(p)')}", 'length(text)')} as dup_para_char_frac
 from (select doc_id, text, {_dups(chr(92) + 'n+')} as l, {_dups(chr(92) + 'n{2,}')} as p from documents)"""
-LINES = f"""select doc_id, len(l)::bigint as n_lines, {_ratio(f"len(list_filter(l, lambda x: regexp_matches(rtrim(x, ' '), {_lit(quality.TERMINAL)})))", 'len(l)')} as terminal_frac,
+_VISIBLE = "' ' || chr(9) || chr(12) || chr(13)"
+LINES = f"""select doc_id, len(l)::bigint as n_lines, {_ratio(f"len(list_filter(l, lambda x: right(rtrim(x, {_VISIBLE}), 1) in ('.', '!', '?', '…', ';', ':', chr(34), '»')))", 'len(l)')} as terminal_frac,
 {_ratio('len(list_filter(l, lambda x: length(x) <= 30))', 'len(l)')} as short_frac, {_ratio(f"{_chars('l')} - {_chars('list_distinct(l)')}", "length(replace(text, chr(10), ''))")} as char_dup_frac,
 {_ratio("length(text) - length(replace(text, chr(10), ''))", 'n_words')} as new_line_ratio from (select doc_id, text, {SHOWN} as l, len({WORDS}) as n_words from documents)"""
 QWORDS = f"""select doc_id, len(w)::bigint as n_words, {_ratio(_chars('w'), 'len(w)')} as avg_word_length, {_ratio("len(list_filter(t, lambda x: regexp_matches(x, '\\p{L}')))", 'len(t)')} as alpha_ratio,
-{_ratio("len(regexp_extract_all(text, '#'))", 'len(w)')} as hash_ratio, {_ratio("len(regexp_extract_all(text, '\\.\\.\\.|…'))", 'len(w)')} as ellipsis_ratio,
-len(list_intersect(list_distinct(w), {_list(GREEK.stop_words)}))::bigint as n_stop_words, {_ratio(f"len(list_filter(l, lambda x: regexp_matches(x, {_lit(quality.BULLET)})))", 'len(l)')} as bullet_frac,
-{_ratio("len(list_filter(l, lambda x: regexp_matches(rtrim(x, ' '), '(\\.\\.\\.|…)$')))", 'len(l)')} as ellipsis_frac from (select doc_id, text, {TOK} as t, {WORDS} as w, {SHOWN} as l from documents)"""
+{_ratio("length(text) - length(replace(text, '#', ''))", 'len(w)')} as hash_ratio, {_ratio("len(regexp_extract_all(text, '[.]{3}|…'))", 'len(w)')} as ellipsis_ratio,
+len(list_intersect(list_distinct(w), {_list(GREEK.stop_words)}))::bigint as n_stop_words, {_ratio("len(list_filter(l, lambda x: left(ltrim(x, ' ' || chr(9)), 1) in ('•', '‣', '▪', '◦', '●', '→', '*', '-')))", 'len(l)')} as bullet_frac,
+{_ratio(f"len(list_filter(l, lambda x: ends_with(rtrim(x, {_VISIBLE}), '...') or ends_with(rtrim(x, {_VISIBLE}), '…')))", 'len(l)')} as ellipsis_frac from (select doc_id, text, {TOK} as t, {WORDS} as w, {SHOWN} as l from documents)"""
 REASON = f"""select l.doc_id, case when dup_line_frac > {GREEK.dup_line_frac} then 'dup_line_frac' when n_lines = 0 then 'empty' when terminal_frac < {GREEK.line_punct} then 'line_punct'
 when short_frac > {GREEK.short_line_frac} then 'short_lines' when char_dup_frac > {GREEK.char_dup} then 'char_dup' when new_line_ratio > {GREEK.new_line_ratio} then 'new_lines' when n_words < {GREEK.min_words} then 'few_words'
 when n_words > {GREEK.max_words} then 'many_words' when not avg_word_length between {GREEK.min_avg_word_length} and {GREEK.max_avg_word_length} then 'word_length' when hash_ratio > {GREEK.max_symbol_ratio} then 'hashes'
@@ -163,8 +192,32 @@ def _top(n: int) -> str:
 (select doc_id, w, unnest(range(1, len(w) - {n - 2})) as i from tok where len(w) >= {n})) group by doc_id, gram) group by doc_id"""
 
 
-TOP = f"""with tok as materialized (select doc_id, {TOK} as w from documents), {', '.join(f't{n} as ({_top(n)})' for n in (2, 3, 4))}
-select d.doc_id, {', '.join(f"{_ratio(f'coalesce(t{n}.chars, 0)', 'length(text)')} as top_{n}" for n in (2, 3, 4))} from documents d left join t2 on d.doc_id = t2.doc_id left join t3 on d.doc_id = t3.doc_id left join t4 on d.doc_id = t4.doc_id"""
+def _dup(n: int) -> str:
+    """The greedy scan over the n-grams that occur more than once: one is remembered where it is met first, skipped over after that."""
+    return f"""select doc_id, (list_reduce(list_prepend({{pos: 0::bigint, gram: ''::varchar, size: 0::bigint, known: []::varchar[], free: 0::bigint, total: 0::bigint}}, l), lambda a, x:
+case when x.pos < a.free then a when list_contains(a.known, x.gram) then {{pos: x.pos, gram: x.gram, size: x.size, known: a.known, free: x.pos + {n}, total: a.total + x.size}}
+else {{pos: x.pos, gram: x.gram, size: x.size, known: list_append(a.known, x.gram), free: a.free, total: a.total}} end)).total as chars
+from (select doc_id, list({{pos: i, gram: gram, size: size, known: []::varchar[], free: 0::bigint, total: 0::bigint}} order by i) as l from
+(select doc_id, i::bigint as i, md5(array_to_string(g, chr(1))) as gram, length(array_to_string(g, ''))::bigint as size, count(*) over (partition by doc_id, array_to_string(g, chr(1))) as c from (select doc_id, i, w[i:i+{n - 1}] as g from (select doc_id, w, unnest(range(1, len(w) - {n - 2})) as i from tok where len(w) >= {n})))
+where c > 1 group by doc_id)"""
+
+
+GRAMS = [*(("top", n) for n in (2, 3, 4)), *(("dup", n) for n in range(5, 11))]
+
+
+def _gram_tables(which: list[tuple[str, int]]) -> str:
+    """Tables of a WITH clause: tok, one a measure, and gram with all shares of each document."""
+    each = ", ".join(f"{k}{n} as materialized ({_top(n) if k == 'top' else _dup(n)})" for k, n in which)
+    shares = ", ".join(f"{_ratio(f'coalesce({k}{n}.chars, 0)', 'length(text)')} as {k}_{n}" for k, n in which)
+    return f"tok as materialized (select doc_id, {TOK} as w from documents), {each}, gram as (select d.doc_id, {shares} from documents d {' '.join(f'left join {k}{n} on d.doc_id = {k}{n}.doc_id' for k, n in which)})"
+
+
+def _gram_query(which: list[tuple[str, int]]) -> str:
+    return f"with {_gram_tables(which)} {_rounded('select * from gram', tuple(f'{k}_{n}' for k, n in which))}"
+
+
+_GRAM_LIMITS = {**{("top", n): x for n, x in GREEK.top_n_grams}, **{("dup", n): x for n, x in GREEK.dup_n_grams}}
+GRAM_REASON = "case " + " ".join(f"when {k}_{n} > {x} then '{k}_{n}_gram'" for (k, n), x in _GRAM_LIMITS.items()) + " end"
 
 _AB = minhash.permutations()
 _PLAIN = f"regexp_replace(translate(lower(text), 'άέήίϊΐόύϋΰώς', 'αεηιιιουυυωσ'), '\\p{{Nd}}+', '0', 'g')"
@@ -176,22 +229,57 @@ PAIRS = f"{BANDS}, pair as materialized (select distinct u, doc_id as v from ban
 CLUSTERS = f"{PAIRS}, edge as (select u, v from pair union select v, u from pair), reach(doc_id, other) as (select u, u from edge union select r.doc_id, e.v from reach r join edge e on r.other = e.u), comp as materialized (select doc_id, min(other) as cluster_id from reach group by doc_id), clus as materialized (select d.doc_id, coalesce(c.cluster_id, d.doc_id) as cluster_id, count(*) over (partition by coalesce(c.cluster_id, d.doc_id)) as cluster_size from documents d left join comp c on d.doc_id = c.doc_id)"
 KEPT = "select doc_id, cluster_id, cluster_size from (select doc_id, cluster_id, cluster_size, row_number() over (partition by cluster_id order by warc_filename, warc_record_offset, doc_id) as k from clus c join documents d using (doc_id)) where k = 1"
 
+_TAGS = ["script", "style", "head", "nav", "footer", "aside", "form", "noscript"]
+
+
+def _unescaped(x: str) -> str:
+    """Named entities that the tables hold, decoded once."""
+    for name, cp in (("lt", 60), ("gt", 62), ("quot", 34), ("apos", 39), ("nbsp", 160), ("amp", 38)):
+        x = f"replace({x}, '&{name};', chr({cp}))"
+    return x
+
+
+def _bare(x: str) -> str:
+    x = f"regexp_replace({x}, '<!--(.|\\n)*?-->', ' ', 'g')"
+    for t in _TAGS:
+        x = f"regexp_replace({x}, '<{t}(\\s[^>]*)?>(.|\\n)*?</{t}\\s*>', ' ', 'gi')"
+    x = f"regexp_replace({x}, '</?(p|div|br|h1|h2|h3|h4|h5|h6|li|tr|ul|ol|table|article|section|main|blockquote)([\\s/][^>]*)?>', chr(10), 'gi')"
+    x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for name, to in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+        x = f"replace({x}, '{name}', '{to}')"
+    return x
+
+
+#: Line by line: spaces collapsed, empty lines dropped.
+PLAIN = f"select page_id, array_to_string(list_filter(list_transform(string_split({_bare('html')}, chr(10)), lambda x: trim(regexp_replace(x, '[ \\t\\r\\f]+', ' ', 'g'), ' ')), lambda x: x <> ''), chr(10)) as text from pages"
+#: Runs of digits and full stops are looked at one by one: four numbers up to 255, split at the stops, that are no private range.
+REDACTED = """with m as (select doc_id, text is null as none, regexp_extract_all(regexp_replace(text, '[0-9A-Za-z._%+-]+@[0-9A-Za-z-]+([.][0-9A-Za-z-]+)*[.][A-Za-z]{2,}', '<email>', 'g'), '[0-9.]+|[^0-9.]+') as runs from documents),
+r as (select doc_id, none, list_transform(runs, lambda r: {run: r, n: case when regexp_matches(r, '^[.]*[0-9]{1,3}([.][0-9]{1,3}){3}[.]*$') then list_transform(string_split(trim(r, '.'), '.'), lambda o: case when length(o) > 1 and o[1] = '0' then 999 else o::int end) else [999, 0, 0, 0] end}) as runs from m)
+select doc_id, case when not none then array_to_string(list_transform(runs, lambda r: case when list_max(r.n) > 255 or r.n[1] in (0, 10, 127) or r.n[1] >= 240 or (r.n[1] = 192 and r.n[2] = 168) or (r.n[1] = 169 and r.n[2] = 254) or (r.n[1] = 172 and r.n[2] between 16 and 31)
+ or (r.n[1] = 100 and r.n[2] between 64 and 127) or (r.n[1] = 198 and r.n[2] in (18, 19)) or r.n[1:3] in ([192, 0, 2], [198, 51, 100], [203, 0, 113]) then r.run else regexp_replace(r.run, '[0-9][0-9.]*[0-9]', '<ip>') end), '') end as text from r"""
+#: Lines of bars only are left out; a run of them at the start or the end leaves a line break.
+SYMBOLS = """with l as (select doc_id, string_split(replace(text, ':: ', chr(10) || '|' || chr(10) || '||' || chr(10)), chr(10)) as l from documents), k as (select doc_id, l, list_filter(l, lambda x: x = '' or replace(x, '|', '') <> '') as kept from l)
+select doc_id, case when l[1] <> '' and replace(l[1], '|', '') = '' then chr(10) else '' end || array_to_string(kept, chr(10)) || case when len(kept) > 0 and l[-1] <> '' and replace(l[-1], '|', '') = '' then chr(10) else '' end as text from k"""
+
 SQL: dict[str, str] = {
     "url_filter": f"select doc_id, {HOST} as host, {VERDICT} as verdict from documents",
-    "html_extract_text": f"select page_id, trim(regexp_replace({_chain('html', html.CHAIN)}, '^\\n+|\\n+$', '', 'g'), ' ') as text from pages",
+    "html_extract_text": PLAIN,
+    "url_filter_tables": f"select doc_id, {HOST} as host, {VERDICT} as verdict from documents",
     "tokens_words": f"select doc_id, len(t)::bigint as n_tokens, len(list_filter(t, lambda w: regexp_matches(w, '^[\\p{{L}}\\p{{N}}_]')))::bigint as n_words, md5(array_to_string(t, ' ')) as digest from (select doc_id, {TOK} as t from documents)",
-    "lang_score": f"{LANG} select * from lang",
-    "lang_threshold": f"{LANG} select doc_id, language_score from lang where language = 'ell' and language_score >= {GREEK.language_score}",
-    "lang_top_pairs": f"{LANG} select * from ({' union all '.join(f'select doc_id, {_lit(n)} as lang_code, s_{n} as score from s' for n in NAMES)}) where score > {GREEK.keep_pairs}",
-    "rep_lines_paragraphs": PIECES,
-    "rep_top_ngrams": TOP,
-    "qual_lines": LINES,
-    "qual_words": QWORDS,
+    "lang_score": f"{LANG} select * replace (round(language_score, 6) as language_score) from lang",
+    "lang_script": "select doc_id, case when g >= l and g >= c and g > 0 then 'Grek' when l >= c and l > 0 then 'Latn' when c > 0 then 'Cyrl' else 'Zyyy' end as language_script from (select doc_id, len(regexp_extract_all(text, '\\p{Greek}')) as g, len(regexp_extract_all(text, '\\p{Latin}')) as l, len(regexp_extract_all(text, '\\p{Cyrillic}')) as c from documents)",
+    "lang_threshold": f"{LANG} select doc_id, round(language_score, 6) as language_score from lang where language = 'ell' and language_score >= {GREEK.language_score}",
+    "lang_top_pairs": f"{LANG} select * replace (round(score, 6) as score) from ({' union all '.join(f'select doc_id, {_lit(n)} as lang_code, s_{n} as score from s' for n in NAMES)}) where score > {GREEK.keep_pairs}",
+    "rep_lines_paragraphs": _rounded(PIECES, PIECE_SHARES),
+    "rep_top_ngrams": _gram_query(GRAMS[:3]),
+    "rep_dup_ngrams": _gram_query(GRAMS[3:]),
+    "qual_lines": _rounded(LINES, LINE_SHARES),
+    "qual_words": _rounded(QWORDS, WORD_SHARES),
     "quality_first_reason": REASON,
     "quality_against_labels": f"select quality, count(*) as n_documents, sum((reason is null)::bigint)::bigint as n_passed from ({REASON}) r join (select doc_id, floor(avg(quality))::bigint as quality from labels where quality is not null group by doc_id) using (doc_id) group by quality",
-    "repair_text": f"select page_id, {_chain('html', cleanup.REPAIRS)} as text from pages",
-    "redact_addresses": f"select doc_id, {_chain('text', cleanup.REDACTION)} as text from documents",
-    "symbol_lines": f"select doc_id, regexp_replace(replace(text, ':: ', chr(10) || '|' || chr(10) || '||' || chr(10)), {_lit(cleanup.symbol_pattern())}, chr(10), 'g') as text from documents",
+    "repair_text": f"select page_id, regexp_replace(regexp_replace(replace(replace({_unescaped(_unescaped('html'))}, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '\\x1B\\[[0-9;]*[A-Za-z]', '', 'g'), '[\\x00-\\x08\\x0B\\x0E-\\x1F\\x7F\\x{{FEFF}}]', '', 'g') as text from pages",
+    "redact_addresses": REDACTED,
+    "symbol_lines": SYMBOLS,
     "exact_dedup_docs": "select md5(text) as text_hash, min(doc_id) as doc_id, count(*) as n_copies from documents group by 1",
     "minhash_signature": f"with {SIG} select doc_id, md5(array_to_string(signature, ',')) as digest, signature[1] as first, signature[112] as last from sig",
     "minhash_bands": f"with {BANDS} select * from band",
@@ -200,4 +288,5 @@ SQL: dict[str, str] = {
     "minhash_dedup": f"with recursive {CLUSTERS} {KEPT}",
     "minhash_removed": f"with recursive {CLUSTERS} select doc_id from documents where doc_id not in (select doc_id from ({KEPT}))",
     "pipeline_reasons_no_ngrams": f"{LANG}, r as ({REASON}), v as (select doc_id, {VERDICT} as verdict from documents) select doc_id, case when verdict is not null then 'url_' || verdict when not (language = 'ell' and language_score >= {GREEK.language_score}) then 'language' else reason end as reason from v join lang using (doc_id) join r using (doc_id)",
+    "pipeline_reasons": f"{LANG}, r as ({REASON}), {_gram_tables(GRAMS)} select doc_id, case when not (language = 'ell' and language_score >= {GREEK.language_score}) then 'language' when reason = 'dup_line_frac' then reason else coalesce({GRAM_REASON}, reason) end as reason from gram join lang using (doc_id) join r using (doc_id)",
 }

@@ -73,10 +73,10 @@ def total(s: SparkSession, d: str) -> DataFrame:
 
 def resume(s: SparkSession, d: str) -> DataFrame:
     """Where extraction goes on, from the names of published chunks: all but the last two of the crawl's chunks."""
-    names = m.chunk_bounds(total(s, d), CHUNK).orderBy("start_row")
-    n = names.count()
-    have = {r[0] for r in index.published_chunks(names.limit(max(n - 2, 0))).collect()}
-    return s.createDataFrame([(len(have), m.prefix_end(have) if len(have) != 1 else CHUNK)], "n_chunks int, next_row bigint")
+    names = m.chunk_bounds(total(s, d), CHUNK)
+    last = names.agg(F.max("start_row").alias("last"))
+    have = names.join(F.broadcast(last), F.col("start_row") <= F.col("last") - 2 * CHUNK, "left_semi")
+    return m.resume_point(index.published_chunks(have))
 
 
 def paths(s: SparkSession, d: str) -> DataFrame:
@@ -107,7 +107,23 @@ def _new_parts(s: SparkSession, d: str) -> DataFrame:
 
 
 def _new_crawls(s: SparkSession, d: str) -> DataFrame:
-    return parts(s, d).groupBy(F.concat(F.substring("crawl_id", 1, 12), F.lit("-22")).alias("crawl_id")).agg(F.count(F.lit(1)).cast("int").alias("total_parts"), F.max("created_at").alias("started_at"))
+    return parts(s, d).groupBy(F.concat(F.substring("crawl_id", 1, 12), F.lit("-22")).alias("crawl_id")).agg(F.count(F.lit(1)).cast("int").alias("total_parts"))
+
+
+def _gated(s: SparkSession, d: str) -> DataFrame:
+    """The gate with every crawl of the table taken as under way and every open part as failed."""
+    own = crawls(s, d).withColumn("status", F.lit("fetching"))
+    closed = parts(s, d).withColumn("status", F.when(F.col("status").isin("pending", "running"), "failed").otherwise(F.col("status")))
+    return q.merge_gate(own, closed, 0.9).withColumn("ratio", F.round("ratio", 6))
+
+
+def _ensured(s: SparkSession, d: str) -> DataFrame:
+    """Name and type of the status tables' columns, and that each table of the data fits them."""
+    out = []
+    for name, empty, have in zip(("crawl_status", "part_status"), q.empty_tables(s), (crawls(s, d), parts(s, d)), strict=True):
+        got = {f.name: f.dataType for f in have.schema.fields}
+        out += [(name, f.name, f.dataType.simpleString(), got.get(f.name) == f.dataType, empty.count()) for f in empty.schema.fields]
+    return s.createDataFrame(out, "table_name string, column_name string, column_type string, fits boolean, n_rows bigint")
 
 
 QUERIES: dict[str, Query] = {
@@ -127,7 +143,6 @@ QUERIES: dict[str, Query] = {
     "path_list_filter": paths,
     "stale_file_classify": files,
     "queue_status_counts": lambda s, d: q.status_counts(parts(s, d)),
-    "queue_success_ratio": lambda s, d: q.success_ratio(parts(s, d)),
     "queue_ready_to_merge": lambda s, d: q.ready_crawls(crawls(s, d), parts(s, d)).select("crawl_id", "status"),
     "queue_oldest_ready": lambda s, d: q.ready_crawls(crawls(s, d), parts(s, d)).select("crawl_id").orderBy("crawl_id").limit(1),
     "queue_claim_next": lambda s, d: q.next_parts(parts(s, d), 5).select("id", "crawl_id", "part_url", "part_index"),
@@ -137,12 +152,16 @@ QUERIES: dict[str, Query] = {
     "queue_mark_error": lambda s, d: q.mark_error(parts(s, d), F.col("status") == "running", F.repeat(F.lit("x"), 3000)).select("id", "status", "attempt_count", F.length("last_error").alias("error_length")),
     "queue_requeue": lambda s, d: q.requeue_failed(parts(s, d), F.lit(True)).select("id", "status", "attempt_count"),
     "queue_release_stale": lambda s, d: q.release_stale(parts(s, d), _now()).select("id", "status"),
-    "queue_register_parts": lambda s, d: q.register(parts(s, d), _new_parts(s, d)),
-    "queue_upsert_crawl": lambda s, d: q.upsert_crawl(crawls(s, d), _new_crawls(s, d)),
+    "queue_success_ratio": lambda s, d: q.success_ratio(parts(s, d)).withColumn("ratio", F.round("ratio", 6)),
+    "queue_merge_gate": _gated,
+    "queue_ensure_schema": _ensured,
+    "queue_register_parts": lambda s, d: q.register(parts(s, d), _new_parts(s, d), _now()),
+    "queue_upsert_crawl": lambda s, d: q.upsert_crawl(crawls(s, d), _new_crawls(s, d), _now()),
     "queue_remaining_crawls": lambda s, d: q.remaining(table(s, d, "crawl_index").select(F.col("crawl").alias("crawl_id")).distinct(), crawls(s, d).where("status = 'done'")),
     "queue_seeded_crawls": lambda s, d: crawls(s, d).select("crawl_id").distinct(),
     "queue_orphan_parts": lambda s, d: q.orphans(parts(s, d), crawls(s, d).where("status = 'done'")).select("id", "crawl_id"),
-    "queue_mark_done": lambda s, d: q.mark_crawl(crawls(s, d), F.col("status") != "done", "done", _now()).select("crawl_id", "status", "finished_at", "last_error"),
+    "queue_mark_merging": lambda s, d: q.mark_merging(crawls(s, d), F.col("status") == "fetching", _now()),
+    "queue_mark_done": lambda s, d: q.mark_done(crawls(s, d), F.col("status") != "done", parts(s, d), F.concat(F.lit("out/"), "crawl_id"), F.lit(5), 0.5, _now()),
     "exact_dedup_removed": lambda s, d: _selected(s, d).join(_deduped(s, d).select("warc_filename", "warc_record_offset"), ["warc_filename", "warc_record_offset"], "left_anti").select(*m.COLUMNS),
 }
 
@@ -159,7 +178,7 @@ SQL: dict[str, str] = {
     "manifest_slice": f"select * from ({NUMBERED}) where row_idx >= 100 and row_idx < 350",
     "rank_split": f"select row_idx, (ntile({RANKS}) over (order by row_idx) - 1)::int as rank from ({NUMBERED})",
     "chunk_bounds": f"select s as start_row, least({CHUNK}, n - s) as length, 'chunk_' || lpad(s::varchar, 12, '0') as name from (select n, unnest(range(0, n, {CHUNK})) as s from ({TOTAL}))",
-    "resume_prefix": f"select greatest(ceil(n / {CHUNK})::int - 2, 0)::int as n_chunks, greatest(ceil(n / {CHUNK})::bigint - 2, 0) * {CHUNK} as next_row from ({TOTAL})",
+    "resume_prefix": f"select k as n_chunks, case when k <> 1 then k::bigint * {CHUNK} end as next_row, case when k = 1 then 'one chunk alone does not tell the distance' end as error from (select greatest(ceil(n / {CHUNK})::int - 2, 0)::int as k from ({TOTAL}))",
     "published_chunk_offsets": f"select s as start_row from (select unnest(range(0, n, {CHUNK})) as s from ({TOTAL}))",
     "path_list_filter": "select (row_number() over (order by part_url) - 1)::int as part_index, part_url from part_status where contains(part_url, 'crawl=CC-MAIN-2013-22/subset=warc/')",
     "stale_file_classify": "select lpad(id::varchar, 5, '0') || '_' || lpad(part_index::varchar, 5, '0') || '.parquet' as name, coalesce(row_count, 0) as size, case when coalesce(row_count, 0) = 0 then 'empty' when part_index >= 2 then 'stale' else 'keep' end as kind from part_status",
@@ -174,11 +193,17 @@ SQL: dict[str, str] = {
     "queue_mark_error": "select id, case when status = 'running' then case when attempt_count >= 5 then 'failed' else 'pending' end else status end as status, attempt_count, case when status = 'running' then 2000 else length(last_error) end::int as error_length from part_status",
     "queue_requeue": "select id, case when status = 'failed' then 'pending' else status end as status, case when status = 'failed' then 0 else attempt_count end as attempt_count from part_status",
     "queue_release_stale": f"select id, case when status = 'running' and started_at < timestamptz '{NOW}+00' then 'pending' else status end as status from part_status",
-    "queue_register_parts": "select distinct crawl_id || case when part_index = 0 then '' else '-x' end as crawl_id, part_url, part_index from part_status p where part_index <> 0",
-    "queue_upsert_crawl": "with n as (select substring(crawl_id, 1, 12) || '-22' as crawl_id, count(*)::int as total_parts, max(created_at) as started_at from part_status group by 1) select coalesce(c.crawl_id, n.crawl_id) as crawl_id, case when n.crawl_id is not null then 'fetching' else c.status end as status, coalesce(n.total_parts, c.total_parts) as total_parts, coalesce(c.started_at, n.started_at) as started_at from crawl_status c full join n on c.crawl_id = n.crawl_id",
+    "queue_register_parts": f"select id, crawl_id, part_url, part_index, status, fragment_path, row_count, attempt_count, last_error, started_at, finished_at, created_at, updated_at from part_status union all select (select max(id) from part_status) + row_number() over (order by crawl_id, part_index, part_url), crawl_id, part_url, part_index, 'pending', null, null, 0, null, null, null, timestamptz '{NOW}+00', timestamptz '{NOW}+00' from (select crawl_id || '-x' as crawl_id, part_url, min(part_index) as part_index from part_status where part_index <> 0 group by 1, 2)",
+    "queue_upsert_crawl": f"with n as (select substring(crawl_id, 1, 12) || '-22' as crawl_id, count(*)::int as k from part_status group by 1) select coalesce(c.crawl_id, n.crawl_id) as crawl_id, case when k is null then c.status else 'fetching' end as status, coalesce(k, c.total_parts) as total_parts, c.success_parts, c.failed_parts, c.min_success_ratio_used, c.output_path, c.row_count, c.last_error, case when k is null then c.started_at else coalesce(c.started_at, timestamptz '{NOW}+00') end as started_at, c.finished_at, case when c.crawl_id is null then timestamptz '{NOW}+00' else c.created_at end as created_at, case when k is null then c.updated_at else timestamptz '{NOW}+00' end as updated_at from crawl_status c full join n on c.crawl_id = n.crawl_id",
+    "queue_merge_gate": "select crawl_id, coalesce(t, 0) as total, coalesce(g, 0) as success, round(coalesce(g / t, 0)::double, 6) as ratio, case when coalesce(g / t, 0) < 0.9 then 'requeue' else 'merge' end as action from crawl_status left join (select crawl_id, count(*) as t, count(*) filter (status = 'success') as g from part_status group by 1) using (crawl_id)",
+    "queue_ensure_schema": "select table_name, column_name, case data_type when 'VARCHAR' then 'string' when 'INTEGER' then 'int' when 'BIGINT' then 'bigint' when 'DOUBLE' then 'double' else 'timestamp' end as column_type, true as fits, 0::bigint as n_rows from (select 'crawl_status' as table_name, column_name, column_type as data_type from (describe crawl_status) union all select 'part_status', column_name, column_type from (describe part_status))",
+    "queue_mark_merging": f"select crawl_id, case when status = 'fetching' then 'merging' else status end as status, total_parts, success_parts, failed_parts, min_success_ratio_used, output_path, row_count, last_error, started_at, finished_at, created_at, case when status = 'fetching' then timestamptz '{NOW}+00' else updated_at end as updated_at from crawl_status",
     "queue_remaining_crawls": "select distinct crawl as crawl_id from crawl_index where crawl not in (select crawl_id from crawl_status where status = 'done')",
     "queue_seeded_crawls": "select distinct crawl_id from crawl_status",
     "queue_orphan_parts": "select id, crawl_id from part_status where crawl_id not in (select crawl_id from crawl_status where status = 'done')",
-    "queue_mark_done": f"select crawl_id, 'done' as status, case when status <> 'done' then timestamptz '{NOW}+00' else finished_at end as finished_at, case when status <> 'done' then null else last_error end as last_error from crawl_status",
+    "queue_mark_done": f"""with p as (select crawl_id, count(*)::int as t, (count(*) filter (status = 'success'))::int as g from part_status group by 1)
+select crawl_id, 'done' as status, total_parts, case when was then success_parts else coalesce(g, 0) end as success_parts, case when was then failed_parts else coalesce(t - g, 0) end as failed_parts, case when was then min_success_ratio_used else 0.5 end::double as min_success_ratio_used,
+case when was then output_path else 'out/' || crawl_id end as output_path, case when was then row_count else 5 end as row_count, case when was then last_error end as last_error, started_at, case when was then finished_at else timestamptz '{NOW}+00' end as finished_at, created_at, case when was then updated_at else timestamptz '{NOW}+00' end as updated_at
+from (select *, status = 'done' as was from crawl_status) left join p using (crawl_id)""",
     "exact_dedup_removed": f"select * from ({SEL}) s where not exists (select 1 from ({DEDUP}) k where k.warc_filename = s.warc_filename and k.warc_record_offset = s.warc_record_offset)",
 }
