@@ -1,15 +1,16 @@
 """Problem 5: page boilerplate mixed with main content.
 
-Site template removal. A page is a tree: elements of its markup where there is markup, else a root whose leaves are the
-lines of its text. Subtrees are hashed with numbers and the site's own name masked (so one template of many sites is
-one hash), for a line also the part that recurs while the rest changes: its head up to a separator,
-the first entry of a menu, the opening of a notice. In Spark the different documents of each site and of all
-sites are counted by hash; subtrees recurring in a share of a site's documents, or in a share of all documents on
-several sites, are template. A container most of whose leaves are template goes as a whole, which takes along its
-changing parts (links, trails). Where there is no markup, the runs of titles below a template caption are such parts.
-
-Counting is by sums with map-side combine; the flags of all-site templates are broadcast, as at most (keys of a document
-/ MENU_GLOBAL_SHARE) keys can reach that share; those of single sites are joined by (site, hash).
+Site template removal. A page is a tree: elements of its markup where there is markup, and a root whose leaves are the
+lines of its text. Each element is hashed with all that stands below it, with numbers and the site's own name masked (so
+one template of many sites is one hash); a leaf's hash is its text's, whether it stands in markup or is a line. For a line
+there is also a hash of the part that recurs while the rest changes: its head up to a separator, the first entry of a
+menu, the opening of a notice. In Spark the different documents of each site and of all sites are counted by hash;
+subtrees recurring in a share of a site's documents, or in a share of all documents on several sites, are template and go
+with everything below them. A container most of whose leaves are template goes too, which takes along its changing parts
+(links, trails). Where there is no markup, the runs of titles below a template caption are such parts.
+
+Counting is by sums with map-side combine. Verdicts are broadcast if they are few (SMALL_ROWS), else joined by (site,
+hash), each split by document, so that a line of a third of all documents is many tasks' work.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webloom.functions.joins import salted
 from webloom.llm.common import documents, fold, map_rows, table
 from webloom.llm.mojibake import invert
-from webloom.session import cut
+from webloom.session import SMALL_ROWS, cut
 
 SITE_DOCUMENTS, SITE_SHARE = 3, 0.03
 GLOBAL_SHARE, HEAD_GLOBAL_SHARE, MENU_GLOBAL_SHARE, GLOBAL_SITES = 0.002, 0.01, 0.0005, 4
@@ -120,16 +122,29 @@ def _hash(kind: str, text: str) -> int:
 _TOKEN = re.compile(r"<!--.*?-->|<(script|style|head|title)\b.*?</\1\s*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^<>]*)>|([^<]+)", re.S | re.I)
 _CONTAINERS = frozenset("nav aside footer header div section ul ol article main form body html".split())
 _LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li td tr th a span pre blockquote figcaption button label dt dd".split())
+#: Elements that hold a page's own content, so that they never go as a whole, even if the same page stands at several addresses.
+_CONTENT = frozenset(("", "html", "body", "main", "article"))
 
 
-def containers(html: str) -> list[tuple[str, list[tuple[str, bool]]]]:
-    """(opening, leaves) of each container's own leaves, in order: text and whether it is a heading or paragraph.
+class Element:
+    """A container: its parent's number (-1 for the root), opening tag, and its leaves and containers in order."""
 
-    Unclosed and stray tags are forgiven."""
+    def __init__(self, parent: int, tag: str, opening: str) -> None:
+        self.parent, self.tag, self.opening = parent, tag, opening
+        self.parts: list[tuple[str, bool] | int] = []
+
+    @property
+    def leaves(self) -> list[tuple[str, bool]]:
+        """Own leaves: text and whether it is a heading or paragraph."""
+        return [x for x in self.parts if not isinstance(x, int)]
+
+
+def tree(html: str) -> list[Element]:
+    """The containers of a page, parents before children, the root first. Unclosed and stray tags are forgiven."""
     import html as entities
 
-    done: list[tuple[str, list[tuple[str, bool]]]] = []
-    stack: list[tuple[str, str, list[tuple[str, bool]]]] = [("", "", [])]
+    nodes = [Element(-1, "", "")]
+    stack = [0]
     text: list[str] = []
     kind = ""
 
@@ -137,7 +152,7 @@ def containers(html: str) -> list[tuple[str, list[tuple[str, bool]]]]:
         s = " ".join(entities.unescape(entities.unescape("".join(text))).split())
         text.clear()
         if s:
-            stack[-1][2].append((s, kind in ("p", "h1", "h2")))
+            nodes[stack[-1]].parts.append((s, kind in ("p", "h1", "h2")))
 
     for m in _TOKEN.finditer(html):
         tag = (m[3] or "").lower()
@@ -147,27 +162,36 @@ def containers(html: str) -> list[tuple[str, list[tuple[str, bool]]]]:
             leaf()
             kind = ""
             if not m[2]:
-                stack.append((tag, f"{tag} {' '.join(m[4].split())}".strip(), []))
-            elif any(s[0] == tag for s in stack):
-                while True:
-                    t, opening, own = stack.pop()
-                    done.append((opening, own))
-                    if t == tag:
-                        break
+                nodes[stack[-1]].parts.append(len(nodes))
+                nodes.append(Element(stack[-1], tag, f"{tag} {' '.join(m[4].split())}".strip()))
+                stack.append(len(nodes) - 1)
+            elif any(nodes[k].tag == tag for k in stack):
+                while nodes[stack.pop()].tag != tag:
+                    pass
         elif tag in _LEAVES or tag == "br":
             leaf()
             if tag != "br":
                 kind = "" if m[2] else tag
     leaf()
-    done += [(s[1], s[2]) for s in stack]
-    return [x for x in done if x[1]]
+    return nodes
+
+
+def subtree_hashes(nodes: list[Element], keys: Callable[[str], str]) -> list[int]:
+    """A hash of each container with all its descendants, from the last to the root; odd, as menus' are."""
+    out = [0] * len(nodes)
+    for k in range(len(nodes) - 1, -1, -1):
+        n = nodes[k]
+        out[k] = _hash("s", "\n".join([n.opening, *(str(out[x]) if isinstance(x, int) else keys(x[0]) for x in n.parts)])) | 1
+    return out
 
 
-ELEMENTS = "doc_id bigint, site string, line_no int, full bigint, top bigint, shape int, first boolean, first_top boolean"
+ELEMENTS = "doc_id bigint, site string, line_no int, full bigint, top bigint, shape int, first boolean, first_top boolean, line_a bigint, line_b bigint"
+#: A function of a (repaired) line and the line as it stands that gives two numbers to go with it, 0 and 0 for nothing.
+Extra = Callable[[str, str], tuple[int, int]]
 
 
-def line_elements(docs: DataFrame) -> DataFrame:
-    """One row a non-blank line: its hashes, shape, and whether it is the first of its hash in the document.
+def line_elements(docs: DataFrame, extra: Extra | None = None) -> DataFrame:
+    """One row a non-blank line: its hashes, shape, whether it is the first of its hash in the document, and what `extra` gives.
 
     A row with line_no 0 stands for the document itself. A null site is the empty site; null texts give only that row.
     """
@@ -177,14 +201,17 @@ def line_elements(docs: DataFrame) -> DataFrame:
             for i, domain, text in zip(ids, sites, texts, strict=True):
                 domain = domain or ""
                 site = domain.split(".")[0]
-                yield i, domain, 0, 0, None, 0, True, False
+                yield i, domain, 0, None, None, 0, False, False, 0, 0
                 seen: set[int] = set()
-                for k, line in enumerate((text or "").split("\n"), 1):
-                    if not line or line.isspace():
+                for k, raw in enumerate((text or "").split("\n"), 1):
+                    if not raw or raw.isspace():
                         continue
-                    line = quick_repair(line)
+                    line = quick_repair(raw)
                     n = normal(line, site)
+                    a, b = extra(line, raw) if extra else (0, 0)
                     if not n:
+                        if a or b:
+                            yield i, domain, k, None, None, 0, False, False, a, b
                         continue
                     s = shape(line, n)
                     full, top = _hash("f", n), head(line, n, s)
@@ -192,7 +219,7 @@ def line_elements(docs: DataFrame) -> DataFrame:
                     seen.add(full)
                     if top is not None:
                         seen.add(top)
-                    yield i, domain, k, full, top, s, new, new_top
+                    yield i, domain, k, full, top, s, new, new_top, a, b
 
         return f
 
@@ -200,18 +227,32 @@ def line_elements(docs: DataFrame) -> DataFrame:
 
 
 def page_elements(pages: DataFrame, docs: DataFrame) -> DataFrame:
-    """The same for the markup of documents that have some: a leaf a row, line_no = -(number of its container), top = hash of its whole container."""
+    """The markup of documents that have some: line_no = -(number of the container, from 1).
+
+    A row a container, with its subtree's hash as top, no full hash, and shape = 2 * (number of its parent) + (1 if it may
+    go as a whole); and a row a leaf, with its hash as full. Leaves are not counted, as the text's lines are.
+    """
 
     def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
         def f(ids: list[int], sites: list[str | None], htmls: list[str | None]) -> Iterator[tuple[Any, ...]]:
             for i, domain, html in zip(ids, sites, htmls, strict=True):
-                site = (domain or "").split(".")[0]
-                for c, (opening, leaves) in enumerate(containers(html or ""), 1):
-                    keys = [normal(quick_repair(x), site) for x, _ in leaves]
-                    top = _hash("s", opening + "\n" + "\n".join(keys)) | 1
-                    for j, ((x, solid), k) in enumerate(zip(leaves, keys, strict=True)):
-                        if k:
-                            yield i, domain or "", -c, _hash("f", k), top, shape(x, k) | (SOLID if solid else 0), False, j == 0
+                domain = domain or ""
+                site = domain.split(".")[0]
+                known: dict[str, str] = {}
+
+                def key(text: str, known: dict[str, str] = known, site: str = site) -> str:
+                    if text not in known:
+                        known[text] = normal(quick_repair(text), site)
+                    return known[text]
+
+                nodes = tree(html or "")
+                seen: set[int] = set()
+                for c, (node, h) in enumerate(zip(nodes, subtree_hashes(nodes, key), strict=True), 1):
+                    yield i, domain, -c, None, h, 2 * (node.parent + 1) + (node.tag not in _CONTENT), False, h not in seen, 0, 0
+                    seen.add(h)
+                    for x, solid in node.leaves:
+                        if k := key(x):
+                            yield i, domain, -c, _hash("f", k), None, shape(x, k) | (SOLID if solid else 0), False, False, 0, 0
 
         return f
 
@@ -219,48 +260,86 @@ def page_elements(pages: DataFrame, docs: DataFrame) -> DataFrame:
     return map_rows(keyed, ["doc_id", "url_host_registered_domain", "html"], ELEMENTS, make)
 
 
-def flags(elements: DataFrame) -> DataFrame:
-    """Elements with `full_docs`/`top_docs` verdicts: hit (full hash is template), hit_top (head or container is template)."""
+def site_sizes(docs: DataFrame) -> DataFrame:
+    """(site, site_n): documents of each site, null as the empty one."""
+    return docs.groupBy(F.coalesce("url_host_registered_domain", F.lit("")).alias("site")).agg(F.count(F.lit(1)).alias("site_n"))
+
+
+def templates(elements: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(site, key, n) of the hashes that recur within their site, and (key, full_wide, top_wide) of those that do over sites.
+
+    A site's size is asked only where its share is more than SITE_DOCUMENTS; the joins are split by hash, so that a site
+    with a third of all documents is many tasks' work.
+    """
     one = elements.select("site", F.explode(F.array(F.struct(F.col("full").alias("key"), F.col("first").cast("int").alias("n")), F.struct(F.col("top").alias("key"), F.col("first_top").cast("int").alias("n")))).alias("e")).select("site", "e.*")
     counts = one.where("key is not null and n > 0").groupBy("site", "key").agg(F.sum("n").alias("n"))
-    totals = counts.where("key = 0").select("site", F.col("n").alias("site_n"))
-    local = counts.where("key <> 0").join(totals, "site").where((F.col("n") >= SITE_DOCUMENTS) & (F.col("n") >= SITE_SHARE * F.col("site_n"))).select("site", "key", "n")
-    everywhere = counts.where("key = 0").agg(F.sum("n")).first()[0] or 0
-    share = counts.where("key <> 0").groupBy("key").agg(F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("sites")).where((F.col("sites") >= GLOBAL_SITES) & (F.col("all_n") >= MENU_GLOBAL_SHARE * everywhere))
+    often = counts.where(F.col("n") >= SITE_DOCUMENTS)
+    large = sizes.where(F.col("site_n") * SITE_SHARE > SITE_DOCUMENTS)
+    local = salted(often, large, ["site"], "left", "key").where(F.col("n") >= SITE_SHARE * F.coalesce("site_n", F.lit(0))).select("site", "key", "n")
+    everywhere = sizes.agg(F.sum("site_n")).first()[0] or 0
+    share = counts.groupBy("key").agg(F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("sites")).where((F.col("sites") >= GLOBAL_SITES) & (F.col("all_n") >= MENU_GLOBAL_SHARE * everywhere))
     line = F.col("all_n") >= GLOBAL_SHARE * everywhere
     part = F.when(F.col("key").bitwiseAND(1) == 1, F.lit(True)).otherwise(F.col("all_n") >= HEAD_GLOBAL_SHARE * everywhere)
-    wide = F.broadcast(share.select("key", line.alias("full_wide"), part.alias("top_wide")))
+    return cut(local), cut(share.select("key", line.alias("full_wide"), part.alias("top_wide")))
+
+
+def flags(elements: DataFrame, sizes: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """Elements with verdicts: hit (its full hash is template), hit_top (its head or subtree is template).
+
+    At most `most` verdicts are broadcast; beyond that they meet the elements by shuffle joins, split by document.
+    """
+    local, wide = templates(elements, sizes)
     full = local.select("site", F.col("key").alias("full"), F.col("n").alias("full_n"))
     top = local.select("site", F.col("key").alias("top"), F.lit(True).alias("top_here"))
-    e = elements.where("line_no <> 0").join(full, ["site", "full"], "left").join(top, ["site", "top"], "left")
-    e = e.join(wide.select(F.col("key").alias("full"), "full_wide"), "full", "left").join(wide.select(F.col("key").alias("top"), "top_wide"), "top", "left")
+    wide_full, wide_top = wide.select(F.col("key").alias("full"), "full_wide"), wide.select(F.col("key").alias("top"), "top_wide")
+    few = [df.limit(most + 1).count() <= most for df in (local, wide)]
+
+    def met(left: DataFrame, right: DataFrame, keys: list[str], broadcast: bool) -> DataFrame:
+        return left.join(F.broadcast(right), keys, "left") if broadcast else salted(left, right, keys, "left", "doc_id")
+
+    e = met(met(elements, full, ["site", "full"], few[0]), top, ["site", "top"], few[0])
+    e = met(met(e, wide_full, ["full"], few[1]), wide_top, ["top"], few[1])
     is_long = F.col("shape").bitwiseAND(LONG) != 0
     enough = F.coalesce(F.col("full_n"), F.lit(0)) >= F.when(is_long, LONG_DOCUMENTS).otherwise(SITE_DOCUMENTS)
-    return e.select("doc_id", "line_no", "full", "shape", (enough | F.coalesce("full_wide", F.lit(False))).alias("hit"), (F.coalesce("top_here", F.lit(False)) | F.coalesce("top_wide", F.lit(False))).alias("hit_top"))
+    return e.select("doc_id", "line_no", "full", "shape", (enough | F.coalesce("full_wide", F.lit(False))).alias("hit"), (F.coalesce("top_here", F.lit(False)) | F.coalesce("top_wide", F.lit(False))).alias("hit_top"), "line_a", "line_b")
+
 
+Row = tuple[int, int | None, int, bool, bool]
 
-def decide(rows: list[tuple[int, int, int, bool, bool]]) -> list[int]:
-    """Line numbers of furniture, from (line_no, full, shape, hit, hit_top) of a document's lines and markup leaves."""
-    by: dict[int, list[tuple[int, int, int, bool, bool]]] = {}
-    lines = []
+
+def pruned(rows: list[Row]) -> tuple[set[int], set[int]]:
+    """Leaf hashes below subtrees that go, and those of elements that stay with prose, from a page's containers and leaves."""
+    parent: dict[int, tuple[int, bool]] = {}
+    by: dict[int, list[Row]] = {}
     for r in rows:
-        if r[0] < 0:
-            by.setdefault(r[0], []).append(r)
+        if r[1] is None:
+            parent[-r[0]] = (r[2] >> 1, bool(r[2] & 1) and r[4])
         else:
-            lines.append(r)
+            by.setdefault(-r[0], []).append(r)
     gone: set[int] = set()
     kept: set[int] = set()
-    for leaves in by.values():
-        hits, prose = sum(x[3] for x in leaves), sum(bool(x[2] & PROSE) and not x[3] for x in leaves)
-        if any(x[4] for x in leaves):
+    dead: set[int] = set()
+    for c in sorted(parent):
+        up, recurs = parent[c]
+        leaves = by.get(c, [])
+        if recurs or up in dead:
+            dead.add(c)
             gone.update(x[1] for x in leaves)
-        elif 2 * hits > len(leaves) or (hits and not prose):
+            continue
+        hits, prose = sum(x[3] for x in leaves), sum(bool(x[2] & PROSE) and not x[3] for x in leaves)
+        if 2 * hits > len(leaves) or (hits and not prose):
             gone.update(x[1] for x in leaves if not x[2] & (BYLINE | SOLID))
         elif prose:
             kept.update(x[1] for x in leaves)
+    return gone, kept
+
+
+def decide(rows: list[Row]) -> list[int]:
+    """Line numbers of furniture, from (line_no, full, shape, hit, hit_top) of a document's lines and markup."""
+    gone, kept = pruned([r for r in rows if r[0] < 0])
     out = []
     below = body = False  # below a caption; after a line of the article
-    for k, full, s, hit, hit_top in sorted(lines):
+    for k, full, s, hit, hit_top in sorted(r for r in rows if r[0] > 0 and r[1] is not None):
         if not s & LETTERS or s & BYLINE:
             below = below and not s & BYLINE
             continue
@@ -282,10 +361,14 @@ def decide(rows: list[tuple[int, int, int, bool, bool]]) -> list[int]:
     return out
 
 
+def judged(docs: DataFrame, pages: DataFrame, extra: Extra | None = None) -> DataFrame:
+    """(doc_id, rows): all elements of each document with their verdicts, from one pass over its lines and one over its markup."""
+    elements = cut(line_elements(docs, extra).unionByName(page_elements(pages, docs)))
+    return flags(elements, cut(site_sizes(docs))).groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "full", "shape", "hit", "hit_top", "line_a", "line_b")).alias("rows"))
+
+
 def found(docs: DataFrame, pages: DataFrame) -> DataFrame:
     """(doc_id, line_no) of lines that belong to a page's furniture."""
-    elements = cut(line_elements(docs).unionByName(page_elements(pages, docs)))
-    one = flags(elements).groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "full", "shape", "hit", "hit_top")).alias("rows"))
 
     def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
         def f(ids: list[int], groups: list[list[dict[str, Any]]]) -> Iterator[tuple[Any, ...]]:
@@ -295,7 +378,7 @@ def found(docs: DataFrame, pages: DataFrame) -> DataFrame:
 
         return f
 
-    return map_rows(one, ["doc_id", "rows"], "doc_id bigint, line_no bigint", make)
+    return map_rows(judged(docs, pages), ["doc_id", "rows"], "doc_id bigint, line_no bigint", make)
 
 
 def body(docs: DataFrame, pages: DataFrame) -> DataFrame:
