@@ -2,9 +2,10 @@
 
 Each line becomes one symbol of simple line statistics (share of common words, sentence end, digits, symbols, separators,
 marker, length); a hidden Markov model labels it prose, list, table or junk. The model starts from stated beliefs about
-each feature and is re-estimated by Baum-Welch on at most SAMPLE_DOCUMENTS documents; labels of all lines of all
-documents are then found by forward-backward and added up per document. Furniture lines (problem 5) and titles are left
-aside. Lines become symbols in one narrow pass; only small per-document arrays are shuffled.
+each feature and is re-estimated by Baum-Welch on all documents: expected counts are summed in each task, over many
+sequences at a time, and a task gives one small table. Labels of all lines are then found by forward-backward and added
+up per document. Furniture lines (problem 5) and titles are left aside. Symbols come from the same pass over lines that
+finds furniture; only small rows are shuffled, never texts.
 """
 
 from __future__ import annotations
@@ -22,10 +23,11 @@ from webloom.llm.common import WORDS, documents, map_rows, table
 from webloom.session import cut
 
 STATES = ("prose", "list", "table", "junk")
-SAMPLE_DOCUMENTS = 3000
 ITERATIONS = 3
-#: Lines of belief that stand against the sample when the model is re-estimated.
-PRIOR_LINES = 3000.0
+#: Weight of the stated beliefs when the model is re-estimated: this part of all lines for each state, whatever the corpus' size.
+PRIOR_SHARE = 0.08
+#: Cells (lines times sequences) of one batch of sequences.
+BATCH_CELLS = 200_000
 
 #: Frequent function words, folded, of the corpus languages and of Greek in Latin letters.
 COMMON = frozenset(
@@ -106,75 +108,132 @@ class Model:
         p = np.array([FEATURES[f] for f in NAMES])
         self.emit = np.stack([np.prod(np.where(bits, p[:, s], 1 - p[:, s]), 1) for s in range(k)])
 
-    def posterior(self, symbols: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Forward-backward: (lines, states) probabilities of each line's state, and summed transitions."""
-        e = self.emit[:, symbols].T
-        n, k = e.shape
-        f, b = np.empty((n, k)), np.ones((n, k))
-        v = self.start * e[0]
-        f[0] = v / v.sum()
-        for i in range(1, n):
-            v = (f[i - 1] @ self.move) * e[i]
-            f[i] = v / v.sum()
+    def posteriors(self, sequences: list[list[int]]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Forward-backward: of each sequence the (lines, states) probabilities, and the summed expected transitions.
+
+        Sequences of like length go through together, padded to the longest; an empty one has no lines.
+        """
+        k = len(STATES)
+        out: list[np.ndarray] = [np.zeros((0, k))] * len(sequences)
         pair = np.zeros((k, k))
-        for i in range(n - 2, -1, -1):
-            w = e[i + 1] * b[i + 1]
-            joint = f[i][:, None] * self.move * w[None]
-            pair += joint / joint.sum()
-            v = self.move @ w
-            b[i] = v / v.sum()
-        g = f * b
-        return g / g.sum(1, keepdims=True), pair
+        order = sorted((i for i, s in enumerate(sequences) if len(s)), key=lambda i: len(sequences[i]))
+        a = 0
+        while a < len(order):
+            b = a + 1
+            while b < len(order) and (b - a + 1) * len(sequences[order[b]]) <= BATCH_CELLS and len(sequences[order[b]]) <= 2 * len(sequences[order[a]]) + 8:
+                b += 1
+            some = order[a:b]
+            a = b
+            size = np.array([len(sequences[i]) for i in some])
+            n = int(size[-1])
+            seen = np.arange(n)[:, None] < size[None]
+            e = np.ones((n, len(some), k))
+            e[seen.T.nonzero()[1], seen.T.nonzero()[0]] = self.emit.T[np.concatenate([np.asarray(sequences[i], np.int64) for i in some])]
+            f, back = np.empty_like(e), np.ones_like(e)
+            v = self.start * e[0]
+            f[0] = v / v.sum(1, keepdims=True)
+            for t in range(1, n):
+                v = (f[t - 1] @ self.move) * e[t]
+                f[t] = np.where(seen[t][:, None], v / v.sum(1, keepdims=True), f[t - 1])
+            for t in range(n - 2, -1, -1):
+                w = e[t + 1] * back[t + 1]
+                on = seen[t + 1]
+                # Expected transitions of a step: from i to j in proportion to f_i move_ij w_j.
+                total = ((f[t] @ self.move) * w).sum(1)
+                pair += self.move * ((f[t] / total[:, None])[on].T @ w[on])
+                v = w @ self.move.T
+                back[t] = np.where(on[:, None], v / v.sum(1, keepdims=True), 1.0)
+            g = f * back
+            g /= g.sum(2, keepdims=True)
+            for j, i in enumerate(some):
+                out[i] = g[: size[j], j]
+        return out, pair
+
+    def expected(self, sequences: list[list[int]]) -> np.ndarray:
+        """Expected counts of the sequences, flat: emissions, transitions, starts."""
+        post, pair = self.posteriors(sequences)
+        emit = np.zeros_like(self.emit)
+        start = np.zeros(len(STATES))
+        whole = [np.asarray(s, np.int64) for s in sequences if len(s)]
+        if whole:
+            g, at = np.concatenate([p for p in post if len(p)]), np.concatenate(whole)
+            for k in range(len(STATES)):
+                emit[k] = np.bincount(at, g[:, k], emit.shape[1])
+            start = np.sum([p[0] for p in post if len(p)], 0)
+        return np.concatenate([emit.ravel(), pair.ravel(), start])
+
+    def updated(self, counts: np.ndarray) -> Model:
+        """The model that expected counts and the stated beliefs, with their share of the lines as weight, give."""
+        first, own, k = Model(), Model(), len(STATES)
+        a, b = first.emit.size, first.emit.size + k * k
+        weight = PRIOR_SHARE * max(counts[:a].sum(), 1.0)
+        emit, move, start = counts[:a].reshape(first.emit.shape) + first.emit * weight, counts[a:b].reshape(k, k) + first.move * weight, counts[b:] + first.start * (PRIOR_SHARE * max(counts[b:].sum(), 1.0))
+        own.emit, own.move, own.start = emit / emit.sum(1, keepdims=True), move / move.sum(1, keepdims=True), start / start.sum()
+        return own
 
     def fit(self, sequences: list[list[int]], iterations: int = ITERATIONS) -> Model:
-        """Baum-Welch with the starting beliefs as PRIOR_LINES lines a state."""
-        first = Model()
+        """Baum-Welch on sequences at hand; `fitted` does the same over a frame."""
+        own = self
         for _ in range(iterations):
-            emit, move, start = first.emit * PRIOR_LINES, first.move * PRIOR_LINES, first.start * PRIOR_LINES / 10
-            for s in sequences:
-                g, pair = self.posterior(s)
-                np.add.at(emit.T, s, g)
-                move = move + pair
-                start = start + g[0]
-            self.emit, self.move, self.start = emit / emit.sum(1, keepdims=True), move / move.sum(1, keepdims=True), start / start.sum()
-        return self
+            own = own.updated(own.expected(sequences))
+        return own
+
+
+def line_numbers(line: str, raw: str) -> tuple[int, int]:
+    """What a line brings to the statistics, as two numbers: words and symbol, visible characters and letters and digits."""
+    s, n, letters = line_features(line)
+    return n << 8 | s, len("".join(raw.split())) << 32 | letters
 
 
-LINES = "doc_id bigint, n_chars bigint, n_symbols bigint, n_ended bigint, n_common bigint, line_nos array<int>, symbols array<int>, words array<int>"
+BODY = "doc_id bigint, n_words bigint, n_chars bigint, n_letters bigint, n_lines bigint, n_ended bigint, n_common bigint, symbols array<smallint>, words array<int>"
 
 
-def symbols(docs: DataFrame) -> DataFrame:
-    """One row a document: character figures, and number, symbol and words of each non-blank line. Null and empty texts have none."""
+def bodies(docs: DataFrame, pages: DataFrame) -> DataFrame:
+    """One row a document: figures of all its lines, and symbol and words of each line of its body.
+
+    Furniture and a title (a first body line without sentence end) are not body. Null and empty texts have no lines.
+    """
 
     def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
-        def f(ids: list[int], texts: list[str | None]) -> Iterator[tuple[Any, ...]]:
-            for i, text in zip(ids, texts, strict=True):
-                nos, syms, words = [], [], []
-                ended = common = plain = 0
-                for k, line in enumerate((text or "").split("\n"), 1):
-                    if not line or line.isspace():
-                        continue
-                    s, n, letters = line_features(boilerplate.quick_repair(line))
-                    plain += letters
-                    if n:
-                        nos.append(k)
-                        syms.append(s)
-                        words.append(n)
-                        ended += s >> 1 & 1
-                        common += s & 1
-                shown = len("".join((text or "").split()))
-                yield i, shown, max(shown - plain, 0), ended, common, nos, syms, words
+        def f(ids: list[int], groups: list[list[dict[str, Any]]]) -> Iterator[tuple[Any, ...]]:
+            for i, rows in zip(ids, groups, strict=True):
+                gone = set(boilerplate.decide([(r["line_no"], r["full"], r["shape"], r["hit"], r["hit_top"]) for r in rows]))
+                lines = sorted((r["line_no"], r["line_a"] & 255, r["line_a"] >> 8) for r in rows if r["line_no"] > 0 and r["line_a"] >> 8)
+                body = [(s, n) for k, s, n in lines if k not in gone]
+                if len(body) > 1 and not body[0][0] & 0b1111110 and body[0][0] & 1:
+                    body = body[1:]
+                both = [r["line_b"] for r in rows if r["line_no"] > 0]
+                yield i, sum(n for _, _, n in lines), sum(x >> 32 for x in both), sum(x & 0xFFFFFFFF for x in both), len(lines), sum(s >> 1 & 1 for _, s, _ in lines), sum(s & 1 for _, s, _ in lines), [s for s, _ in body], [n for _, n in body]
 
         return f
 
-    return map_rows(docs, ["doc_id", "text"], LINES, make)
+    return map_rows(boilerplate.judged(docs, pages, line_numbers), ["doc_id", "rows"], BODY, make)
 
 
-def fitted(lines: DataFrame, size: int = SAMPLE_DOCUMENTS) -> Model:
-    n = lines.count()
-    share = min(1.0, size / max(n, 1))
-    picked = lines.where((F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)) & (F.size("symbols") > 0)).select("symbols").orderBy(F.xxhash64("doc_id")).limit(2 * size)
-    return Model().fit([r[0] for r in picked.collect()])
+def fitted(found: DataFrame, iterations: int = ITERATIONS) -> Model:
+    """Baum-Welch over all documents: each task sums expected counts, and at most one table's cells reach the driver a round."""
+    sc = found.sparkSession.sparkContext
+    model = Model()
+    size = len(model.expected([]))
+    for _ in range(iterations):
+        held = sc.broadcast(model)
+
+        def make(held: Any = held) -> Callable[..., Iterator[tuple[Any, ...]]]:
+            own = held.value
+
+            def f(sequences: list[list[int]]) -> Iterator[tuple[Any, ...]]:
+                counts = own.expected(sequences)
+                at = np.flatnonzero(counts)
+                yield from zip(at.tolist(), counts[at].tolist(), strict=True)
+
+            return f
+
+        sums = map_rows(found.where(F.size("symbols") > 0), ["symbols"], "cell int, n double", make, each=4096).groupBy("cell").agg(F.sum("n").alias("n")).collect()
+        counts = np.zeros(size)
+        for r in sums:
+            counts[r["cell"]] = r["n"]
+        model = model.updated(counts)
+    return model
 
 
 STATS = "doc_id bigint, n_words bigint, mean_word_length double, symbol_ratio double, ended_line_share double, common_line_share double, body_words bigint, prose_share double, list_share double, table_share double, junk_share double"
@@ -183,41 +242,24 @@ STATS = "doc_id bigint, n_words bigint, mean_word_length double, symbol_ratio do
 def statistics(docs: DataFrame, pages: DataFrame) -> DataFrame:
     """One row a document: sizes, ratios, and the shares of its body's words that stand in prose, list, table and junk lines.
 
-    Furniture and a title (a first body line without sentence end) are not body. Without body words the shares are 0.
+    Without body words the shares are 0.
     """
-    lines = cut(symbols(docs))
-    model = lines.sparkSession.sparkContext.broadcast(fitted(lines))
-    gone = boilerplate.found(docs, pages).groupBy("doc_id").agg(F.collect_set(F.col("line_no").cast("int")).alias("gone"))
-    met = lines.join(gone, "doc_id", "left")
+    found = cut(bodies(docs, pages))
+    model = found.sparkSession.sparkContext.broadcast(fitted(found))
 
     def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
         own = model.value
-        seen: dict[tuple[int, ...], np.ndarray] = {}
-
-        def f(ids: list[int], chars: list[int], marks: list[int], ended: list[int], common: list[int], nos: list[list[int]], syms: list[list[int]], words: list[list[int]], gones: list[list[int] | None]) -> Iterator[tuple[Any, ...]]:
-            for i, c, m, e, o, no, sy, wo, g in zip(ids, chars, marks, ended, common, nos, syms, words, gones, strict=True):
-                total = sum(wo)
-                skip = set(g or ())
-                body = [j for j, k in enumerate(no) if k not in skip]
-                if len(body) > 1 and not sy[body[0]] & 0b1111110 and sy[body[0]] & 1:
-                    body = body[1:]
-                share = [0.0] * 4
-                n = sum(wo[j] for j in body)
-                if n:
-                    seq = tuple(sy[j] for j in body)
-                    post = seen.get(seq)
-                    if post is None:
-                        post = own.posterior(list(seq))[0]
-                        if len(seen) < 50_000 and len(seq) < 30:
-                            seen[seq] = post
-                    best = post.argmax(1)
-                    for j, b in zip(body, best.tolist(), strict=True):
-                        share[b] += wo[j] / n
-                yield i, total, c / max(total, 1), m / max(c, 1), e / max(len(no), 1), o / max(len(no), 1), n, *share
+
+        def f(*columns: list[Any]) -> Iterator[tuple[Any, ...]]:
+            post = own.posteriors(columns[7])[0]
+            for i, total, chars, letters, lines, ended, common, _, words, p in zip(*columns, post, strict=True):
+                n = sum(words)
+                share = np.bincount(p.argmax(1), words, len(STATES)) / n if n else np.zeros(len(STATES))
+                yield i, total, chars / max(total, 1), max(chars - letters, 0) / max(chars, 1), ended / max(lines, 1), common / max(lines, 1), n, *share.tolist()
 
         return f
 
-    return map_rows(met, ["doc_id", "n_chars", "n_symbols", "n_ended", "n_common", "line_nos", "symbols", "words", "gone"], STATS, make)
+    return map_rows(found, [x.split()[0] for x in BODY.split(", ")], STATS, make, each=2048)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
