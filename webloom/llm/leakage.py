@@ -1,122 +1,131 @@
 """Problem 8: evaluation texts leaking into training text.
 
-The normalised 12-word windows of the test items form a hash set that is broadcast: the held-out set is fixed by the
-evaluation, not by the corpus, and its size is checked against MAX_WINDOWS. Training windows are scanned in one narrow
-pass and every hit is verified word by word. A larger test set takes the other way: window hashes are joined by shuffle.
+The normalised 12-word windows of the test items form a sorted array of 64-bit hashes that is broadcast. Training windows
+are scanned in one narrow pass and every hit is verified word by word. The array is bounded: items are taken in blocks of
+at most BLOCK_WINDOWS windows, each block scans all documents in the same way, so a test set of any size is treated alike.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Any
 
 import numpy as np
-import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.llm.common import WORDS, documents, map_rows, table, words
 
 N = 12
-MAX_WINDOWS = 2_000_000
+#: Windows of one broadcast block: 16 bytes each and a word's number, and the words themselves.
+BLOCK_WINDOWS = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Index:
-    """Windows of the items: words are numbered, a window is the number of its words in base BASE modulo 2**64."""
+def window_hashes(ids: np.ndarray, n: int) -> np.ndarray:
+    """The numbers of n neighbouring words as a number in base BASE modulo 2**64, at each place."""
+    m = len(ids) - n + 1
+    out = np.zeros(max(m, 0), np.uint64)
+    if m > 0:
+        mixed = ids.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        for k in range(n):
+            out = out * BASE + mixed[k : k + m]
+    return out
 
-    def __init__(self, items: list[tuple[int, list[str]]], n: int = N) -> None:
-        self.n = n
-        self.number: dict[str, int] = {}
-        self.powers = np.array([pow(int(BASE), k, 1 << 64) for k in range(n)], np.uint64)
-        self.windows: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.items = {i: [self.number.setdefault(w, len(self.number) + 1) for w in ws] for i, ws in items}
-        for i, ids in self.items.items():
-            for at, h in enumerate(self.hashes(np.array(ids, np.uint64)).tolist()):
-                self.windows[h].append((i, at))
-        self.sorted = np.sort(np.fromiter(self.windows, np.uint64, len(self.windows)))
-
-    def hashes(self, ids: np.ndarray) -> np.ndarray:
-        m = len(ids) - self.n + 1
-        out = np.zeros(max(m, 0), np.uint64)
-        if m > 0:
-            mixed = ids * np.uint64(0xC2B2AE3D27D4EB4F)
-            for k in range(self.n):
-                out += mixed[k : k + m] * self.powers[k]
-        return out
-
-    def hits(self, ws: list[str]) -> list[tuple[int, int, int]]:
-        """(item, first word in the document, words) of each verified maximal match, at least n words long."""
-        get = self.number.get
-        ids = np.fromiter((get(w, 0) for w in ws), np.uint64, len(ws))
-        if len(ids) < self.n or not len(self.sorted):
-            return []
-        h = self.hashes(ids)
-        at = np.searchsorted(self.sorted, h)
-        at[at == len(self.sorted)] = 0
-        where = np.flatnonzero(self.sorted[at] == h)
-        spans: dict[tuple[int, int], list[int]] = defaultdict(list)
-        known = ids.tolist() if len(where) else []
-        for p in where.tolist():
-            for item, q in self.windows[int(h[p])]:
-                if known[p : p + self.n] == self.items[item][q : q + self.n]:
-                    spans[item, p - q].append(p)
-        out = []
-        for (item, _), ps in spans.items():
-            start = last = ps[0]
-            for p in ps[1:]:
-                if p != last + 1:
-                    out.append((item, start, last - start + self.n))
-                    start = p
-                last = p
-            out.append((item, start, last - start + self.n))
-        return out
-
-
-def scan(docs: DataFrame, items: DataFrame, n: int = N, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """Maximal matches: doc_id, item_id, first_word (from 0), n_words. Null, empty and short texts and items match nothing."""
-    size = F.coalesce(F.size(F.split(F.trim("text"), "\\s+")), F.lit(0))
-    total = items.agg(F.sum(F.greatest(size - (n - 1), F.lit(0)))).first()[0] or 0
-    if total > max_windows:
-        return _scan_by_join(docs, items, n)
-    held = [(r[0], words(r[1])) for r in items.select("item_id", "text").distinct().toLocalIterator() if r[0] is not None]
-    index = docs.sparkSession.sparkContext.broadcast(held)
-
-    def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
-        own = Index(index.value, n)
-
-        def f(ids: list[int], texts: list[str | None]) -> Iterator[tuple[Any, ...]]:
-            for i, text in zip(ids, texts, strict=True):
-                for item, first, length in own.hits(words(text)):
-                    yield i, item, first, length
 
-        return f
-
-    return map_rows(docs, ["doc_id", "text"], "doc_id bigint, item_id bigint, first_word bigint, n_words bigint", make)
+class Block:
+    """Windows of some items as arrays: words are numbered from 1, items lie end to end, windows are sorted by hash."""
 
+    def __init__(self, items: list[tuple[int, list[str]]], n: int = N) -> None:
+        number: dict[str, int] = {}
+        lists = [np.fromiter((number.setdefault(w, len(number) + 1) for w in ws), np.int32, len(ws)) for _, ws in items]
+        self.n, self.vocabulary, self.items = n, list(number), np.array([i for i, _ in items], np.int64)
+        self.starts = np.cumsum([0, *map(len, lists)]).astype(np.int64)
+        self.ids = np.concatenate([*lists, np.zeros(0, np.int32)])
+        hashes = [window_hashes(x, n) for x in lists]
+        places = np.concatenate([*[a + np.arange(len(h)) for a, h in zip(self.starts, hashes, strict=False)], np.zeros(0, np.int64)]).astype(np.int64)
+        whole = np.concatenate([*hashes, np.zeros(0, np.uint64)])
+        order = np.argsort(whole, kind="stable")
+        self.sorted, self.places = whole[order], places[order]
+
+    def scanner(self) -> Callable[[list[str]], list[tuple[int, int, int]]]:
+        """A function of a document's words: (item, first word in the document, words) of each verified maximal match."""
+        get = {w: k for k, w in enumerate(self.vocabulary, 1)}.get
+        n = self.n
+
+        def hits(ws: list[str]) -> list[tuple[int, int, int]]:
+            if len(ws) < n or not len(self.sorted):
+                return []
+            ids = np.fromiter((get(w, 0) for w in ws), np.int32, len(ws))
+            h = window_hashes(ids, n)
+            lo = np.searchsorted(self.sorted, h, "left")
+            lo[lo == len(self.sorted)] = 0
+            spans: dict[tuple[int, int], list[int]] = defaultdict(list)
+            for p in np.flatnonzero(self.sorted[lo] == h).tolist():
+                for q in self.places[lo[p] : np.searchsorted(self.sorted, h[p], "right")].tolist():
+                    if np.array_equal(ids[p : p + n], self.ids[q : q + n]):
+                        k = int(np.searchsorted(self.starts, q, "right")) - 1
+                        spans[k, p - q].append(p)
+            out = []
+            for (k, _), ps in spans.items():
+                start = last = ps[0]
+                for p in [*ps[1:], None]:
+                    if p is None or p != last + 1:
+                        out.append((int(self.items[k]), start, last - start + n))
+                        start = p
+                    last = p
+            return out
+
+        return hits
+
+
+def blocks(items: DataFrame, n: int, most: int) -> Iterator[Block]:
+    """The items, each once, in blocks of at most `most` windows; a longer item is a block of its own.
+
+    Items without an id or with fewer than n words are left out. One block at a time is held on the driver.
+    """
+    held: list[tuple[int, list[str]]] = []
+    total = 0
+    for i, text in items.where("item_id is not null and text is not null").select("item_id", "text").distinct().toLocalIterator():
+        ws = words(text)
+        size = len(ws) - n + 1
+        if size < 1:
+            continue
+        if held and total + size > most:
+            yield Block(held, n)
+            held, total = [], 0
+        held.append((i, ws))
+        total += size
+    if held:
+        yield Block(held, n)
+
+
+SPANS = "doc_id bigint, item_id bigint, first_word bigint, n_words bigint"
+
+
+def scan(docs: DataFrame, items: DataFrame, n: int = N, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """Maximal matches: doc_id, item_id, first_word (from 0), n_words. Null, empty and short texts and items match nothing."""
+    sc = docs.sparkSession.sparkContext
 
-def _scan_by_join(docs: DataFrame, items: DataFrame, n: int) -> DataFrame:
-    """The same matches for test sets beyond the broadcast bound: windows meet by a shuffle on (hash, text of the window)."""
+    def one(block: Block) -> DataFrame:
+        held = sc.broadcast(block)
 
-    def windows(df: DataFrame, key: str) -> DataFrame:
         def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
+            hits = held.value.scanner()
+
             def f(ids: list[int], texts: list[str | None]) -> Iterator[tuple[Any, ...]]:
                 for i, text in zip(ids, texts, strict=True):
-                    ws = words(text)
-                    for p in range(len(ws) - n + 1):
-                        yield i, p, xxhash.xxh3_128_digest(" ".join(ws[p : p + n]))
+                    for item, first, length in hits(words(text)):
+                        yield i, item, first, length
 
             return f
 
-        return map_rows(df, [key, "text"], f"{key} bigint, at bigint, window binary", make)
+        return map_rows(docs, ["doc_id", "text"], SPANS, make)
 
-    left = windows(docs, "doc_id")
-    right = windows(items.where("item_id is not null").distinct(), "item_id").withColumnRenamed("at", "item_at")
-    met = left.join(right, "window").select("doc_id", "item_id", "at", (F.col("at") - F.col("item_at")).alias("shift"))
-    w = Window.partitionBy("doc_id", "item_id", "shift").orderBy("at")
-    run = met.withColumn("run", F.col("at") - F.row_number().over(w))
-    return run.groupBy("doc_id", "item_id", "shift", "run").agg(F.min("at").alias("first_word"), (F.count(F.lit(1)) + (n - 1)).alias("n_words")).select("doc_id", "item_id", "first_word", "n_words")
+    found = [one(b) for b in blocks(items, n, block_windows)]
+    return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], SPANS)
 
 
 def found(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
