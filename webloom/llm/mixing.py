@@ -4,8 +4,10 @@ Sizes are tokens of a public tokenizer (its vocabulary file is a parameter). Eve
 number of expected copies: what the source's share of the mix needs, at most its cap. A mix of at most `exact_total`
 tokens meets every share; the mix is that large, but no larger than the corpus. If a greater size is given, a source that
 cannot fill its share within its cap gives all it may, and the report shows by how much it falls short. Systematic
-sampling then lays the expected copies of a source end to end, adds one random offset and emits a document once for each integer boundary it crosses. The prefix sums are taken in two steps, within hash buckets
-and over the buckets of a source, so that a source with a third of all rows is spread over all tasks.
+sampling then lays the expected copies of a source end to end, adds one random offset and emits a document once for each
+integer boundary it crosses. Documents lie in order of their size, so that each size gives its part and the tokens chosen
+differ from those expected by about one document; of OFFSETS random offsets of a source the one that comes nearest is added. The prefix sums are taken in two steps, within buckets (a class of sizes
+and a hash) and over the buckets of a source, so that a source with a third of all rows is spread over all tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from webloom.llm.common import documents, map_rows, table
@@ -26,6 +28,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ROWS_PER_BUCKET = 50_000
 SEED = 20_240_601
+#: Random offsets tried for each source; the one whose tokens come nearest to the source's part is taken.
+OFFSETS = 64
 
 
 def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -72,17 +76,30 @@ def rates(sizes: DataFrame, targets: DataFrame, total: int | None = None) -> Dat
 def mix(sizes: DataFrame, rate: DataFrame, seed: int = SEED, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """One row a chosen repetition: doc_id, source, copy_no (from 1), n_tokens. Documents of no target source are left out."""
     largest = rate.agg(F.max("n_documents")).first()[0] or 0
-    buckets = max(16, -(-int(largest) // rows_per_bucket))
-    order = F.xxhash64("doc_id", F.lit(seed))
-    rows = sizes.withColumn("place", order).withColumn("bucket", F.pmod(F.col("place"), F.lit(buckets)))
+    parts = max(1, -(-int(largest) // (rows_per_bucket * 8)))
+    place = F.xxhash64("doc_id", F.lit(seed))
+    # Classes of sizes are an eighth of a doubling wide; large ones are split by hash, and in order within each part.
+    size_class = F.floor(F.log2(F.greatest("n_tokens", F.lit(1))) * 8).cast("bigint")
+    rows = sizes.withColumn("place", place).withColumn("bucket", size_class * parts + F.pmod("place", F.lit(parts)))
     counts = rows.groupBy("source", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = counts.withColumn("before", before).join(rate.select("source", "rate", "max_repeat"), "source").select("source", "bucket", "before", "rate", "max_repeat")
     own = rows.join(starts, ["source", "bucket"])
-    k = F.col("before") + F.row_number().over(Window.partitionBy("source", "bucket").orderBy("place", "doc_id"))
-    offset = F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    crossed = F.floor(k * F.col("rate") + offset) - F.floor((k - 1) * F.col("rate") + offset)
-    chosen = own.withColumn("copies", F.least(crossed, F.col("max_repeat").cast("bigint"))).where("copies > 0")
+    k = F.col("before") + F.row_number().over(Window.partitionBy("source", "bucket").orderBy("n_tokens", "place", "doc_id"))
+    own = cut(own.select("doc_id", "source", "n_tokens", "rate", "max_repeat", k.alias("k")))
+
+    def copies(offset: Column) -> Column:
+        """Integer boundaries that a document crosses, at most its cap."""
+        crossed = F.floor(F.col("k") * F.col("rate") + offset) - F.floor((F.col("k") - 1) * F.col("rate") + offset)
+        return F.least(crossed, F.col("max_repeat").cast("bigint"))
+
+    tried = [(F.pmod(F.xxhash64("source", F.lit(seed), F.lit(c)), F.lit(1 << 30)) / F.lit(float(1 << 30))) for c in range(OFFSETS)]
+    want = F.sum(F.col("rate") * F.col("n_tokens"))
+    # A row a target source, of which there are few.
+    errors = own.groupBy("source").agg(*[F.abs(F.sum(copies(o) * F.col("n_tokens")) - want).alias(f"_{c}") for c, o in enumerate(tried)])
+    least = F.array_min(F.array(*[F.struct(F.col(f"_{c}").alias("error"), o.alias("offset")) for c, o in enumerate(tried)]))
+    best = errors.select("source", least["offset"].alias("offset"))
+    chosen = own.join(F.broadcast(best), "source").withColumn("copies", copies(F.col("offset"))).where("copies > 0")
     return chosen.select("doc_id", "source", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy_no"), "n_tokens")
 
 
