@@ -3,17 +3,21 @@
 A byte convolutional network (multi-width filters, max pooling over positions, softmax) is trained here in numpy on
 windows of labelled text and applied to batched windows of fixed length that cover every line. The labels are the
 records' own single-code language lists: noisy, so after a first training the examples the network clearly contradicts
-are left out and it is trained again. The sample of labelled documents is bounded by SAMPLE_DOCUMENTS; everything else
-covers all rows. Prediction is one narrow pass; only per-document results meet the manifest.
+are left out and it is trained again. The sample is bounded: SAMPLE_DOCUMENTS labelled documents with the least hashes of
+all, at most DOCUMENT_WINDOWS windows of each, also by least hash over all its lines, and MOST_WINDOWS of each script.
+Everything else covers all rows. Prediction is one narrow pass; only per-document results meet the manifest.
 """
 
 from __future__ import annotations
 
+import io
 import re
+import warnings
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,10 +28,14 @@ CODES = (*LANGUAGES, "none")
 WINDOW = 128
 MIN_LETTERS = 40
 SAMPLE_DOCUMENTS = 8000
+#: Windows of one document that may be examples.
+DOCUMENT_WINDOWS = 12
 #: Training windows of each script at most, and of no language.
 MOST_WINDOWS = {"other": 9000, "greek": 2500, "cyrillic": 1500, "none": 1500}
 EMBEDDING, FILTERS, WIDTHS = 12, 16, (2, 3, 4)
 EPOCHS, BATCH, RATE, SEED = 4, 64, 0.004, 7
+#: Letters of a line that may be an example.
+LEAST_LETTERS = 20
 #: A line whose letters are a smaller part of its visible characters is an example of no language.
 LETTER_SHARE = 0.7
 _OTHER = re.compile(r"[\W\d_]+")
@@ -117,6 +125,19 @@ class Network:
     def prepared(self) -> Predictor:
         return Predictor(self.p)
 
+    def saved(self) -> bytes:
+        """The weights as a file, for use on other corpora."""
+        out = io.BytesIO()
+        np.savez_compressed(out, **self.p)
+        return out.getvalue()
+
+    @classmethod
+    def loaded(cls, data: bytes) -> Network:
+        own = cls()
+        with np.load(io.BytesIO(data)) as f:
+            own.p = {k: f[k] for k in own.p}
+        return own
+
 
 class Predictor:
     """The network for prediction: embedding and filters are folded into one table row a byte pair or byte, so that a
@@ -160,15 +181,38 @@ def listed(manifest: DataFrame) -> DataFrame:
     return one.withColumn("codes", F.array_distinct(F.filter("codes", lambda c: (c != "") & (c != "und"))))
 
 
-def labelled_sample(docs: DataFrame, manifest: DataFrame, size: int = SAMPLE_DOCUMENTS) -> list[tuple[str, str]]:
-    """(label, line) of at most about `size` documents with a single known code, chosen by hash, at most 8 lines each."""
-    n = docs.count()
-    share = min(1.0, size / max(n, 1))
-    picked = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < int(share * 1_000_000)).select("doc_id", "text", "warc_filename", "warc_record_offset")
-    keyed = picked.join(listed(manifest), ["warc_filename", "warc_record_offset"]).where((F.size("codes") == 1) & F.col("codes")[0].isin(*LANGUAGES))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) >= MIN_LETTERS)
-    # Long lines are cut here only: an example needs no more than some windows.
-    return [(r[0], line) for r in keyed.select(F.col("codes")[0], F.transform(F.slice(lines, 1, 8), lambda x: F.substring(x, 1, 400))).toLocalIterator() for line in r[1] or []]
+def labelled_windows(docs: DataFrame, manifest: DataFrame, size: int = SAMPLE_DOCUMENTS) -> DataFrame:
+    """(place, script, label, window) of the `size` documents with a single known code whose hashes are least.
+
+    The records are chosen without their texts. All lines of a chosen document are read; DOCUMENT_WINDOWS of its windows
+    with the least hashes are taken. Never empty while any such document has a line with enough letters.
+    """
+    single = listed(manifest).where((F.size("codes") == 1) & F.col("codes")[0].isin(*LANGUAGES)).select("warc_filename", "warc_record_offset", F.col("codes")[0].alias("label"))
+    keys = docs.where("text is not null").select("doc_id", "warc_filename", "warc_record_offset").join(single, ["warc_filename", "warc_record_offset"])
+    chosen = keys.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(size).select("doc_id", "label")
+    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # `size` rows of two short columns
+
+    def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
+        def f(ids: list[int], labels: list[str], texts: list[str | None]) -> Iterator[tuple[Any, ...]]:
+            for i, label, text in zip(ids, labels, texts, strict=True):
+                found: dict[int, tuple[str, str, bytes]] = {}
+                for line in (text or "").split("\n"):
+                    k = n_letters(line)
+                    if k < LEAST_LETTERS:
+                        continue
+                    odd = k < LETTER_SHARE * len("".join(line.split()))
+                    kind = "none" if odd else script(line)
+                    for w in windows(line):
+                        raw = w.tobytes()
+                        found[xxhash.xxh3_64_intdigest(raw, SEED ^ (i & 0xFFFFFFFF)) - (1 << 63)] = (kind, "none" if odd else label, raw)
+                        if len(found) > 64 * DOCUMENT_WINDOWS:
+                            found = dict(sorted(found.items())[:DOCUMENT_WINDOWS])
+                for place, example in sorted(found.items())[:DOCUMENT_WINDOWS]:
+                    yield place, *example
+
+        return f
+
+    return map_rows(picked, ["doc_id", "label", "text"], "place bigint, script string, label string, window binary", make)
 
 
 def script(line: str) -> str:
@@ -178,30 +222,22 @@ def script(line: str) -> str:
     return max((greek, "greek"), (cyrillic, "cyrillic"), (n_letters(line) - greek - cyrillic, "other"))[1]
 
 
-def examples(sample: list[tuple[str, str]], most: dict[str, int] = MOST_WINDOWS, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and labels, at most so many of each script. Within a script labels keep their proportions, as wrong labels
-    are a minority there, while over all scripts rare ones would vanish."""
-    groups: dict[str, list[tuple[np.ndarray, int]]] = {}
-    for label, line in sorted(sample):
-        k = n_letters(line)
-        if k < 20:
-            continue
-        odd = k < LETTER_SHARE * len("".join(line.split()))
-        y = CODES.index("none" if odd else label)
-        groups.setdefault("none" if odd else script(line), []).extend((w, y) for w in windows(line))
-    r = np.random.default_rng(seed)
-    picked = []
-    for name, rows in sorted(groups.items()):
-        picked += [rows[i] for i in r.permutation(len(rows))[: most[name]]]
-    if not picked:
+def examples(found: DataFrame, most: dict[str, int] = MOST_WINDOWS) -> tuple[np.ndarray, np.ndarray]:
+    """Windows and labels, at most so many of each script, by least hash. Within a script labels keep their proportions, as
+    wrong labels are a minority there, while over all scripts rare ones would vanish."""
+    limit = F.create_map(*[F.lit(x) for kv in most.items() for x in kv])[F.col("script")]
+    k = F.row_number().over(Window.partitionBy("script").orderBy("place", "label", "window"))  # of a bounded sample
+    rows = found.withColumn("k", k).where(F.col("k") <= limit).select("place", "label", "window").collect()
+    rows.sort()
+    if not rows:
         return np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64)
-    return np.stack([w for w, _ in picked]), np.array([y for _, y in picked], np.int64)
+    return np.stack([np.frombuffer(bytes(r["window"]), np.uint8) for r in rows]), np.array([CODES.index(r["label"]) for r in rows], np.int64)
 
 
-def train(x: np.ndarray, y: np.ndarray) -> Network:
-    """Train, leave out the examples that the network contradicts, train again."""
+def train(x: np.ndarray, y: np.ndarray) -> Network | None:
+    """Train, leave out the examples that the network contradicts, train again. None without an example."""
     if not len(y):
-        return Network()
+        return None
     first = Network().fit(x, y, 3)
     p = first.prepared()(x)
     keep = p[np.arange(len(y)), y] >= 0.35
@@ -213,12 +249,17 @@ def train(x: np.ndarray, y: np.ndarray) -> Network:
 LINE_SCHEMA = "doc_id bigint, warc_filename string, warc_record_offset bigint, line_no bigint, lang_code string, confidence double, letters bigint"
 
 
-def labelled_lines(docs: DataFrame, network: Network, min_letters: int = MIN_LETTERS) -> DataFrame:
-    """Every line with enough letters: its language (or none) and confidence. Null and empty texts have no lines."""
-    held = docs.sparkSession.sparkContext.broadcast(network.p)
+def labelled_lines(docs: DataFrame, network: Network | None, min_letters: int = MIN_LETTERS) -> DataFrame:
+    """Every line with enough letters: its language (or none) and confidence. Null and empty texts have no lines.
+
+    Without a network, as nothing was labelled, every such line is `none` with confidence 0.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(network.p if network else None)
 
     def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
-        predict = Predictor(held.value)
+        p = held.value
+        unknown = np.eye(len(CODES), dtype=np.float32)[-1:]
+        predict = Predictor(p) if p else lambda x: np.repeat(unknown, len(x), 0)
 
         def f(ids: list[int], files: list[str | None], offsets: list[int | None], texts: list[str | None]) -> Iterator[tuple[Any, ...]]:
             keys, parts = [], []
@@ -232,7 +273,7 @@ def labelled_lines(docs: DataFrame, network: Network, min_letters: int = MIN_LET
                     mean = prob[a : a + len(w)].mean(0) if len(w) > 1 else prob[a]
                     a += len(w)
                     best = int(mean.argmax())
-                    yield i, file, offset, k, CODES[best], float(mean[best]), letters
+                    yield i, file, offset, k, CODES[best], float(mean[best]) if p else 0.0, letters
                 keys.clear()
                 parts.clear()
 
@@ -254,8 +295,12 @@ def labelled_lines(docs: DataFrame, network: Network, min_letters: int = MIN_LET
     return map_rows(docs, ["doc_id", "warc_filename", "warc_record_offset", "text"], LINE_SCHEMA, make)
 
 
-def fitted(docs: DataFrame, manifest: DataFrame) -> Network:
-    return train(*examples(labelled_sample(docs, manifest)))
+def fitted(docs: DataFrame, manifest: DataFrame) -> Network | None:
+    """The network trained on the corpus's own labels; None, with a warning, if no document has a single known label."""
+    network = train(*examples(labelled_windows(docs, manifest)))
+    if network is None:
+        warnings.warn("no labelled document to train on; every line stays without a language", stacklevel=2)
+    return network
 
 
 def document_languages(lines: DataFrame) -> DataFrame:
