@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,43 +83,71 @@ def test_repetition(spark, rows):
     r = random.Random(1)
     for _ in range(50):
         ws = [r.choice("abc") for _ in range(r.randrange(40))]
-        assert repetition.repeated_words(ws) == plain_repeats(ws)
+        assert repetition.repeated_words(repetition.number_words(ws)) == plain_repeats(ws)
     half = greek(1, 60)
     df = frame(spark, [*EDGE, half + "\n" + half.upper(), greek(2, 200), "α β γ δ ε " * 50_000])
     got = {x.doc_id: x for x in repetition.measure(df).collect()}
     assert [i for i, x in got.items() if x.verdict == "repetitive"] == [5, 7]
     assert got[1].verdict == got[2].verdict == "empty" and got[6].repeated_share == 0
+    assert repetition.measure(df.where("false")).count() == repetition.bands(df.where("false")).count() == 0
+    assert repetition.bands(df).count() == 7
+
+
+@pytest.mark.parametrize("run", [5, 7, 30])
+def test_bands_pass_every_document_with_a_third_repeated(run):
+    """Random words are the hardest case: nothing but the repeated runs can be saved."""
+    for n in (40, 150, 700, 2500):
+        for letters in ("αβγδεζηθικλμνξοπρστυφχψω", "abcdefghijklmnopqrstuvwxyz0123456789", "ab"):
+            r = random.Random(f"{n}{letters}{run}")
+            ws = ["".join(r.choice(letters) for _ in range(r.randrange(3, 9))) + str(k) * (letters == "ab") for k in range(n)]
+            step = max(1, n // 40)
+            out = list(ws)
+            while plain_repeats(out) * 3 < len(out):
+                for _ in range(step):
+                    at = r.randrange(n - run)
+                    out += [*ws[at : at + run], f"q{len(out)}"]
+            codes = repetition.run_codes(repetition.number_words(out))
+            data = codes.tobytes()
+            assert len(repetition.compressor(len(data)).compress(data)) / len(data) <= repetition.limit(len(codes))
+
+
+def test_bands_reject_what_does_not_repeat():
+    ws = greek(5, 20_000).split()
+    codes = repetition.run_codes(repetition.number_words(ws))
+    data = codes.tobytes()
+    assert len(repetition.compressor(len(data)).compress(data)) / len(data) > repetition.limit(len(codes))
+    assert repetition.limit(100) == repetition.limit(1 << 25) == float("inf")
+
+
+def test_repeats_far_apart_and_in_short_words_are_found(spark):
+    r = random.Random(3)
+    token = lambda letters, lo, hi: "".join(r.choice(letters) for _ in range(r.randrange(lo, hi)))
+    tokens = [token("abcdefghijklmnopqrstuvwxyz0123456789", 3, 12) for _ in range(2000)]
+    short = [token("abcdefghijklmnopqrstuvwxyz", 1, 4) for _ in range(3000)]
+    far = [token("abcdefghijklmnopqrstuvwxyz", 6, 14) for _ in range(700_000)]
+    texts = [tokens + tokens[:1100], short + short[:1900], far + far]
+    assert len(" ".join(texts[2])) > 14_000_000
+    got = {x.doc_id: x for x in repetition.measure(frame(spark, [" ".join(x) for x in texts]), every=False).collect()}
+    assert {x.verdict for x in got.values()} == {"repetitive"}
+    assert got[3].repeated_share == 0.5 and got[1].repeated_share > 0.354 and got[2].repeated_share > 0.377
+
+
+def test_share_is_exact_above_the_limit(spark):
+    ws = greek(7, 4000).split()
+    ws += ws[:40]
+    got = repetition.measure(frame(spark, [" ".join(ws)])).first()
+    assert got.run_ratio > repetition.limit(len(ws) - 4)
+    assert got.verdict == "normal" and got.repeated_share == pytest.approx(plain_repeats(ws) / len(ws)) and got.repeated_share > 0.009
+    assert repetition.measure(frame(spark, [" ".join(ws)]), every=False).first().repeated_share is None
 
 
-def test_screen_loses_no_repetitive_document():
+def test_last_chunk_is_read():
     import zstandard
 
     compress = zstandard.ZstdCompressor(level=3).compress
-    for seed in range(60):
-        r = random.Random(seed)
-        a = greek(seed, r.choice([8, 15, 40, 120, 600]))
-        ws = (a + " " + a[: len(a) * 2 // 3]).split()
-        if plain_repeats(ws) * 3 >= len(ws):
-            data = " ".join(ws).encode()
-            assert repetition.ratios(compress, data)[0] <= repetition.band(len(data))[0]
-
-
-def test_repetition_of_other_scripts_is_found(spark):
-    r = random.Random(3)
-    texts = []
-    for n in (150, 600, 3000):
-        for letters in ("abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789"):
-            ws = ["".join(r.choice(letters) for _ in range(r.randrange(3, 9))) for _ in range(n)]
-            texts.append(" ".join(ws + ws[: n // 2 + 1]))
-    got = {x.doc_id: x.verdict for x in repetition.measure(frame(spark, texts)).collect()}
-    assert set(got.values()) == {"repetitive"} and len(got) == 6
-
-
-def test_share_is_exact_above_the_band(spark):
-    ws = greek(7, 400).split()
-    ws += ws[:40]
-    got = repetition.measure(frame(spark, [" ".join(ws)])).first()
-    assert got.verdict == "normal" and got.repeated_share == pytest.approx(plain_repeats(ws) / len(ws)) and got.repeated_share > 0.09
+    data = np.random.default_rng(1).bytes(repetition.CHUNK_BYTES) + b"a" * (repetition.CHUNK_BYTES - 1)
+    _, least, mean = repetition.ratios(compress, data)
+    assert least < 0.05 and 0.4 < mean < 0.6
 
 
 def test_site_lines(spark, rows):
@@ -128,6 +157,10 @@ def test_site_lines(spark, rows):
     clean = {r.doc_id: r for r in site_lines.cleaned(df).collect()}
     assert clean[5].text == "\nάλλο" and clean[6].text is None and clean[7].text == "" and len(clean) == 9
     assert site_lines.found(frame(spark, texts, None)).count() == 0
+    marked = frame(spark, ["Ὅροι τῆς Σελίδος", "Ὅροι της σελίδος", "Όροι της σελι\u0301δος", "όροι της ΣΕΛΙΔΟΣ", "οροι τησ σελιδοσ", *[greek(k, 3) for k in range(20)]])
+    assert rows(site_lines.found(marked)) == [(k, 1) for k in range(1, 6)]
+    assert site_lines.found(marked, min_share=0.3).count() == 0 and site_lines.found(marked, min_share=0.2).count() == 5
+    assert [(r.line, r.n_documents, r.document_share) for r in site_lines.report(marked).collect()] == [("Ὅροι τῆς Σελίδος", 5, 0.2)]
     twice = frame(spark, ["η ίδια μεγάλη γραμμή\n" * 9])
     assert site_lines.found(twice).count() == 0
 
@@ -180,8 +213,10 @@ def test_leakage_against_brute_force(spark, rows):
             if any(tuple(ws[j : j + 12]) in grams for j in range(len(ws) - 11)):
                 want.add((i, k))
     assert want and set(rows(leakage.found(docs, bench))) == want
-    joined = {(x.doc_id, x.item_id) for x in leakage.scan(docs, bench, max_windows=0).collect()}
+    joined = {(x.doc_id, x.item_id) for x in leakage.scan(docs, bench, block_windows=1).collect()}
     assert joined == want
+    one, many = ({tuple(x) for x in leakage.scan(docs, bench, block_windows=k).collect()} for k in (10**6, 20))
+    assert one == many and leakage.scan(docs, bench.where("false")).count() == 0
     cleaned = leakage.decontaminated(docs, bench)
     assert leakage.found(cleaned, bench).count() == 0 and cleaned.count() == docs.count()
 
@@ -234,16 +269,53 @@ def test_boilerplate(spark, rows):
     pages = spark.createDataFrame([(1, "u1", "<body><nav><a>Αρχική | Υγεία | Χάρτης | Νέα</a></nav><p>x</p></body>"), (2, None, None)], "page_id bigint, url string, html string")
     got = rows(boilerplate.found(frame(spark, docs + EDGE), pages))
     assert got == sorted((i, k) for i in range(1, 13) for k in (1, 3, 4))
-    assert boilerplate.containers("<div><nav><a>x</a><p>y") == [("nav", [("x", False), ("y", True)])]
-
-
-def test_language_network_on_held_out_lines():
+    many = rows(boilerplate.found(frame(spark, docs + EDGE), pages.where("false")))
+    assert many == got
+
+
+def test_element_trees_and_their_hashes():
+    nodes = boilerplate.tree("<div class=a>t<nav><a>x</a><p>y</nav>u</div></ul>z")
+    assert [(n.tag, n.parent, n.leaves) for n in nodes] == [("", -1, [("z", False)]), ("div", 0, [("t", False), ("u", False)]), ("nav", 1, [("x", False), ("y", True)])]
+    key = str.upper
+    base = boilerplate.subtree_hashes(boilerplate.tree("<div><nav><a>x</a></nav></div>"), key)
+    deep = boilerplate.subtree_hashes(boilerplate.tree("<div><nav><a>w</a></nav></div>"), key)
+    moved = boilerplate.subtree_hashes(boilerplate.tree("<p>q</p><div><nav><a>X</a></nav></div>"), key)
+    assert base[1] != deep[1] and base[1:] == moved[1:] and base[0] != moved[0]
+
+
+def test_recurring_subtrees_go_with_all_below_them():
+    """Lines that recur nowhere as lines go because an element above them recurs."""
+    root, box, inner = (-1, None, 0, False, False), (-2, None, 2 * 1 + 1, False, True), (-3, None, 2 * 2 + 1, False, False)
+    leaves = [(-3, 10, boilerplate.LETTERS | boilerplate.PROSE, False, False), (-1, 11, boilerplate.LETTERS | boilerplate.PROSE, False, False)]
+    lines = [(1, 10, boilerplate.LETTERS | boilerplate.PROSE, False, False), (2, 11, boilerplate.LETTERS | boilerplate.PROSE, False, False)]
+    assert boilerplate.decide([root, box, inner, *leaves, *lines]) == [1]
+    assert boilerplate.decide([root, (-2, None, 2, False, True), inner, *leaves, *lines]) == []  # an element of the page's own content
+    assert boilerplate.decide(lines) == []
+
+
+def test_recurring_subtrees_are_counted_by_site(spark, rows):
+    page = lambda k: f"<main><p>{greek(k, 9)} και το σπίτι.</p></main><div class=r><section><p>Ένα που μένει εδώ πάντα.</p><p>Άλλο που μένει εκεί πάντα.</p></section></div>"
+    texts = [f"{greek(k, 9)} και το σπίτι.\nΈνα που μένει εδώ πάντα.\nΆλλο που μένει εκεί πάντα." for k in range(9)]
+    docs = frame(spark, texts)
+    pages = spark.createDataFrame([(k, f"u{k + 1}", page(k)) for k in range(9)], "page_id bigint, url string, html string")
+    e = boilerplate.page_elements(pages, docs)
+    local, _ = boilerplate.templates(e, boilerplate.site_sizes(docs))
+    assert {r.n for r in local.collect()} == {9} and local.count() == 2  # the div and its section, not the root or main
+    assert rows(boilerplate.found(docs, pages)) == [(i, k) for i in range(1, 10) for k in (2, 3)]
+    small, large = (rows(boilerplate.flags(boilerplate.line_elements(docs), boilerplate.site_sizes(docs), most), "doc_id", "line_no", "hit", "hit_top") for most in (0, 10**6))
+    assert small == large
+
+
+def test_language_network_on_held_out_lines(spark):
     r = random.Random(2)
     lists = {"ell": "το και η του την στο είναι που με για παιδί νερό σπίτι", "eng": "the and of to which when they water house often there were", "bul": "и са не на в през които вода къща когато всички има"}
     data = [(k, " ".join(r.choice(v.split()) for _ in range(14))) for k, v in lists.items() for _ in range(160)]
     r.shuffle(data)
-    x, y = language.examples(data[:360])
-    net = language.train(x, y).prepared()
+    docs = spark.createDataFrame([(i, t, "f", i) for i, (_, t) in enumerate(data)], "doc_id bigint, text string, warc_filename string, warc_record_offset bigint")
+    manifest = spark.createDataFrame([(k, "f", i) for i, (k, _) in enumerate(data[:360])], "content_languages string, warc_filename string, warc_record_offset bigint")
+    x, y = language.examples(language.labelled_windows(docs, manifest))
+    assert len(y) >= 360
+    net = language.Network.loaded(language.train(x, y).saved()).prepared()
     hits = sum(language.CODES[int(net(language.windows(t)).mean(0).argmax())] == k for k, t in data[360:])
     assert hits >= 0.95 * len(data[360:])
     assert language.windows("α" * 500).shape == (8, language.WINDOW) and language.windows("").shape == (1, language.WINDOW)
@@ -251,5 +323,56 @@ def test_language_network_on_held_out_lines():
 
 def test_language_edges(spark):
     docs, manifest = frame(spark, EDGE), spark.createDataFrame([], "content_languages string, warc_filename string, warc_record_offset bigint")
-    assert language.unlisted(docs, manifest, language.Network()).count() == 0
-    assert language.labelled_sample(docs, manifest) == []
+    with pytest.warns(UserWarning):
+        assert language.fitted(docs, manifest) is None
+    assert language.unlisted(docs, manifest, None).count() == 0
+    got = language.labelled_lines(frame(spark, [greek(1, 40)]), None).first()
+    assert (got.lang_code, got.confidence) == ("none", 0.0)
+
+
+def test_language_sample_is_the_least_hashes_of_all_rows(spark):
+    """The sample's size does not depend on how many rows there are, and no rows are out of reach."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("το νερό και η γάτα στην αυλή του σπιτιού "), F.col("id").cast("string")).alias("text"), F.lit("f").alias("warc_filename"), F.col("id").alias("warc_record_offset"))
+    manifest = docs.select(F.lit("ell").alias("content_languages"), "warc_filename", "warc_record_offset")
+    few = {bytes(r.window) for r in language.labelled_windows(docs, manifest, 50).collect()}
+    assert len(few) == 50
+    more = {bytes(r.window) for r in language.labelled_windows(docs.where("doc_id % 3 = 0"), manifest, 1000).collect()}
+    assert len(more) == 1000
+    assert len(language.examples(language.labelled_windows(docs, manifest, 50), {"greek": 7, "other": 1, "cyrillic": 1, "none": 1})[1]) == 7
+
+
+def plain_posterior(model, symbols):
+    """Forward-backward of one sequence, step by step."""
+    e = model.emit[:, symbols].T
+    f, b = [model.start * e[0]], [np.ones(4)]
+    for x in e[1:]:
+        f.append((f[-1] @ model.move) * x)
+    for x in e[:0:-1]:
+        b.insert(0, model.move @ (x * b[0]))
+    g = np.array(f) * np.array(b)
+    whole = f[-1].sum()
+    pair = sum((np.outer(f[t], e[t + 1] * b[t + 1]) * model.move / whole for t in range(len(e) - 1)), np.zeros((4, 4)))
+    return g / g.sum(1, keepdims=True), pair
+
+
+def test_posteriors_of_many_sequences_are_those_of_each():
+    r = random.Random(8)
+    model = quality.Model()
+    seqs = [[r.randrange(256) for _ in range(r.choice([1, 2, 3, 9, 40]))] for _ in range(60)] + [[]]
+    got, pair = model.posteriors(seqs)
+    want = [plain_posterior(model, s) for s in seqs if s]
+    for a, (b, _) in zip(got, want, strict=False):
+        assert np.allclose(a, b)
+    assert np.allclose(pair, sum(p for _, p in want)) and got[-1].shape == (0, 4)
+    counts = model.expected(seqs)
+    assert counts[:1024].sum() == pytest.approx(sum(map(len, seqs)))
+
+
+def test_model_is_fitted_over_all_documents(spark):
+    r = random.Random(8)
+    seqs = [[r.choice([131, 131, 3, 64, 20]) for _ in range(r.randrange(1, 12))] for _ in range(200)]
+    df = spark.createDataFrame([(s,) for s in seqs] + [([],)], "symbols array<smallint>").repartition(3)
+    a, b = quality.fitted(df), quality.Model().fit(seqs)
+    assert np.allclose(a.emit, b.emit) and np.allclose(a.move, b.move) and np.allclose(a.start, b.start)
+    tenfold = quality.Model().fit(seqs * 10)
+    assert np.allclose(tenfold.emit, b.emit)  # the same corpus ten times gives the same model

@@ -3,26 +3,46 @@
 from __future__ import annotations
 
 _FOLD = "replace(strip_accents(lower(text)), 'ς', 'σ')"
+_BLANKS = "\\s\\x{85}\\x{A0}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+_GAP, _NO_GAP = f"[{_BLANKS}]", f"[^{_BLANKS}]"
+_FOLDED = f"regexp_replace({_FOLD}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
 _WORDS = f"""list_filter(list_transform(regexp_split_to_array({_FOLD}, '[\\s\\x{{85}}\\x{{A0}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]+'), lambda w: regexp_replace(w, '[^\\p{{L}}\\p{{N}}]+', '', 'g')), lambda w: w <> '')"""
 
-SQL = {
-    "p3_found": f"""
-with w as (select doc_id, {_WORDS} as ws from documents),
+_SITE_LINES = r"""
+l as (select doc_id, url_host_registered_domain as site, unnest(string_split(text, chr(10))) as line, unnest(range(1, len(string_split(text, chr(10))) + 1)) as line_no from documents),
+n as (select doc_id, site, line_no, line, trim(regexp_replace(regexp_replace(replace(strip_accents(lower(line)), 'ς', 'σ'), '[\s\x{85}\x{A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'), '\p{Nd}+', '0', 'g')) as norm
+      from l where len(regexp_replace(line, '[^\p{L}]+', '', 'g')) >= 10 and site is not null),
+f as (select site, norm, count(distinct doc_id) as n_documents, count(*) as n_lines, arg_min(line, doc_id * 1000000 + line_no) as line from n group by site, norm having count(distinct doc_id) >= 5)"""
+_REPEATS = f"""
+w as (select doc_id, _WORDS_ as ws from documents),
 t as (select doc_id, len(ws) as n, unnest(range(1, len(ws) - 3)) as i, ws from w where len(ws) >= 5),
 g as (select doc_id, n, i, array_to_string(ws[i:i+4], ' ') as gram from t),
 r as (select doc_id, n, i from (select *, row_number() over (partition by doc_id, gram order by i) as k from g) where k > 1),
-c as (select distinct doc_id, n, i + j as at from r, (select unnest(range(5)) as j))
-select doc_id from c group by doc_id, n having 3 * count(*) >= n""",
-    "p4_found": r"""
-with l as (select doc_id, url_host_registered_domain as site, unnest(string_split(text, chr(10))) as line, unnest(range(1, len(string_split(text, chr(10))) + 1)) as line_no from documents),
-n as (select doc_id, site, line_no, trim(regexp_replace(regexp_replace(replace(strip_accents(lower(line)), 'ς', 'σ'), '[\s\x{85}\x{A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'), '\p{Nd}+', '0', 'g')) as norm
-      from l where len(regexp_replace(line, '[^\p{L}]+', '', 'g')) >= 10),
-f as (select site, norm from n group by site, norm having count(distinct doc_id) >= 5)
-select doc_id, line_no from n semi join f using (site, norm)""",
-    "p8_found": f"""
-with b as (select item_id, {_WORDS} as ws from benchmark),
-bg as (select distinct item_id, array_to_string(ws[i:i+11], ' ') as gram from (select item_id, ws, unnest(range(1, len(ws) - 10)) as i from b where len(ws) >= 12)),
-d as (select doc_id, {_WORDS} as ws from documents),
-dg as (select doc_id, array_to_string(ws[i:i+11], ' ') as gram from (select doc_id, ws, unnest(range(1, len(ws) - 10)) as i from d where len(ws) >= 12))
-select distinct doc_id, item_id from dg join bg using (gram)""",
+c as (select distinct doc_id, n, i + j as at from r, (select unnest(range(5)) as j)),
+s as (select doc_id, n, count(*) as again from c group by doc_id, n)""".replace("_WORDS_", _WORDS)
+_LEAKS = f"""
+b as (select item_id, {_WORDS} as ws from benchmark),
+bg as (select item_id, i, array_to_string(ws[i:i+11], ' ') as gram from (select item_id, ws, unnest(range(1, len(ws) - 10)) as i from b where len(ws) >= 12)),
+d as (select doc_id, text, {_WORDS} as ws from documents),
+dg as (select doc_id, i, array_to_string(ws[i:i+11], ' ') as gram from (select doc_id, ws, unnest(range(1, len(ws) - 10)) as i from d where len(ws) >= 12)),
+hit as (select distinct doc_id, item_id, dg.i, dg.i - bg.i as shift from dg join bg using (gram)),
+span as (select doc_id, item_id, min(i) as first, count(*) + 11 as n_words from (select *, i - row_number() over (partition by doc_id, item_id, shift order by i) as run from hit) group by doc_id, item_id, shift, run)"""
+
+SQL = {
+    "p3_found": f"with {_REPEATS} select doc_id from s where 3 * again >= n",
+    "p3_shares": f"with {_REPEATS} select w.doc_id, len(ws)::bigint as n_words, round(coalesce(again / len(ws), 0)::double, 6) as repeated_share from w left join s on s.doc_id = w.doc_id",
+    "p4_found": f"with {_SITE_LINES} select doc_id, line_no from n semi join f using (site, norm)",
+    "p4_lines": f"with {_SITE_LINES} select site as url_host_registered_domain, line, n_documents, n_lines, round(n_documents / size, 6) as document_share from f join (select url_host_registered_domain as site, count(text) as size from documents group by 1) using (site)",
+    "p4_cleaned": f"with {_SITE_LINES}, gone as (select doc_id, line_no from n semi join f using (site, norm)), kept as (select l.doc_id, string_agg(line, chr(10) order by l.line_no) filter (g.doc_id is null) as text, count(g.doc_id) as n_removed from l left join gone g on l.doc_id = g.doc_id and l.line_no = g.line_no group by l.doc_id) select d.doc_id, coalesce(n_removed, 0) as n_removed, case when d.text is not null then coalesce(k.text, '') end as text from documents d left join kept k on d.doc_id = k.doc_id",
+    "p8_found": f"with {_LEAKS} select distinct doc_id, item_id from span",
+    "p8_items": f"with {_LEAKS} select item_id, count(distinct doc_id) as n_documents, max(n_words) as longest_words from span group by item_id",
+    # The text is cut into words and what stands between them; words of a span go, and all that stands inside it.
+    "p8_cleaned": f"""with {_LEAKS},
+u as (select doc_id, list(distinct {{a: first, n: n_words}}) as spans from span group by doc_id),
+p as (select d.doc_id, d.text, spans, regexp_extract_all(d.text, '{_GAP}+|{_NO_GAP}+') as parts from d join u using (doc_id)),
+q as (select doc_id, spans, k, parts[k] as part, {_FOLDED.replace('text', 'parts[k]')} as word from (select doc_id, spans, parts, unnest(range(1, len(parts) + 1)) as k from p)),
+o as (select *, sum(case when not regexp_full_match(part, '{_GAP}+') and word <> '' then 1 else 0 end) over (partition by doc_id order by k) as pos, not regexp_full_match(part, '{_GAP}+') and word <> '' as is_word from q),
+e as (select doc_id, k, is_word, len(list_filter(spans, lambda s: pos >= s.a and pos < s.a + s.n - case when is_word then 0 else 1 end)) > 0 as inside, len(list_filter(spans, lambda s: pos = s.a and is_word)) > 0 as opens, len(list_filter(spans, lambda s: pos = s.a + s.n - 1 and is_word)) > 0 as closes, len(list_filter(spans, lambda s: pos > s.a and pos < s.a + s.n - 1 and is_word)) > 0 as middle, part from o),
+x as (select doc_id, string_agg(case when not inside then part when not is_word then '' when middle then '' when opens and closes then regexp_extract(part, '^[^\\p{{L}}\\p{{N}}]*') || regexp_extract(part, '[^\\p{{L}}\\p{{N}}]*$') when opens then regexp_extract(part, '^[^\\p{{L}}\\p{{N}}]*') when closes then regexp_extract(part, '[^\\p{{L}}\\p{{N}}]*$') else '' end, '' order by k) as text from e group by doc_id)
+select d.doc_id, coalesce(len(spans), 0)::bigint as n_spans, case when spans is null then d.text else x.text end as text from d left join u using (doc_id) left join x using (doc_id)""",
 }
