@@ -50,10 +50,34 @@ def test_words_fold():
         ("Ο ΛΟΥΚΑΣ ΣΚΑΡΠΟΡΙΔΗΣ μίλησε", {"name"}),
         ("Ο Νίκος γελά. Η Λένα μένει", set()),
         ("Στο Αετοχώρι", set()),
+        ("γράψτε στο info{at}ormos{dot}test", {"email"}),
+        ("γράψτε στο info<at>ormos.test", {"email"}),
+        ("γράψτε στο info [AT] ormos [DOT] test", {"email"}),
+        ("στείλτε στο info＠ormos.test", {"email"}),
+        ("στείλτε στο info@παράδειγμα.ελ", {"email"}),
+        ("στείλτε στο infο@ormos.test", {"email"}),  # a Greek omicron
+        ("εξι εννεα οκτω μηδεν ενα δυο τρια τεσσερα πεντε εξι", {"phone"}),
+        ("call +44 20 7946 0958", {"phone"}),
+        ("rufen Sie +49 (0)30 901820", {"phone"}),
+        ("από +357 22 123456 ή", {"phone"}),
+        ("τηλ. 210–123–4567", {"phone"}),
+        ("τηλ. 2310 Ο34608", {"phone"}),
+        ("στον 5ο όροφο και στις 12 Ο καιρός", set()),
+        ("στην οδού Πηγών αρ. 106", {"address"}),
+        ("Ερμού 15, Αθήνα", {"address"}),
+        ("John Smith lives here", {"name"}),
+        ("Hans Müller schreibt", {"name"}),
+        ("пише Мария Иванова днес", {"name"}),
+        ("γράφει ο Giorgos Papadopoulos", {"name"}),
+        ("Η Ελένη Βενιζέλου και ο Οδυσσέας Ελύτης", {"name"}),
+        ("ο Nίκος Παπαδόπουλος", {"name"}),  # a Latin N
+        ("Η Μαρι\u0301α Παπαδοπου\u0301λου μίλησε", {"name"}),
+        ("Η Ελένη μένει. Ο Μάρκος γελά", set()),
+        ("The Smith and his House", set()),
     ],
 )
 def test_personal_information(line, kinds):
-    assert {t for _, _, t in pii.line_types(line)} == kinds
+    assert {t for _, _, t in pii.detect(line)} == kinds
 
 
 def test_redaction_keeps_the_rest_and_maps_back():
@@ -62,6 +86,42 @@ def test_redaction_keeps_the_rest_and_maps_back():
     assert pii.redact_line("τίποτα εδώ") == ("τίποτα εδώ", 0)
 
 
+@pytest.mark.parametrize(
+    ("line", "want"),
+    [
+        ("call six nine four one two three four five six seven", "call [PHONE]"),
+        ("Καλέστε έξι εννέα οκτώ μηδέν ένα δύο τρία τέσσερα πέντε έξι", "Καλέστε [PHONE]"),
+        ("έξι εννέα οκτώ μηδέν ένα δύο τρία τέσσερα πέντε έξι, ελάτε", "[PHONE], ελάτε"),
+        ("Η Μαρι\u0301α Παπαδοπου\u0301λου μίλησε", "Η [NAME] μίλησε"),
+        ("στο info [at] ormos [dot] test και μετά", "στο [EMAIL] και μετά"),
+        ("τηλ. 693Ο123456 ή ΑΦΜ 009825500.", "τηλ. [PHONE] ή ΑΦΜ [ID_NUMBER]."),
+        ("ο Nίκος Παπαδόπουλος, οδός Πηγών 106, x@y.test", "ο [NAME], [ADDRESS], [EMAIL]"),
+    ],
+)
+def test_redacted_lines_are_these(line, want):
+    assert pii.redact_line(line)[0] == want
+
+
+def test_spans_map_back_to_the_source():
+    line = "α\u0301 six nine four one two three four five six seven b at ormos dot test."
+    spans = {t: line[a:b] for a, b, t in pii.detect(line)}
+    assert spans == {"phone": "six nine four one two three four five six seven", "email": "b at ormos dot test"}
+
+
+PIECES = ["info", "at", "[at]", "{dot}", "παπάκι", "τελεία", "@", ".", "ormos", "test", "2310", "034608", "Ο34", "+30", "έξι", "εννέα", "one", "two", "οδός", "Πηγών", "12", ",", "ΑΦΜ", "009825500", "Μαρία", "Παπαδοπούλου", "Μ.", "John", "Smith", "Αθήνα", "104 32", "street", "\u0301", "Nίκος", "Κωνσταντινίδης"]
+
+
+def test_no_gate_of_a_detector_loses_what_it_finds(monkeypatch):
+    r = random.Random(11)
+    lines = [r.choice(["", " "]).join(r.choice(PIECES) + r.choice(["", " ", " ", " "]) for _ in range(r.randrange(1, 14))) for _ in range(4000)]
+    gated = [pii.detect(x) for x in lines]
+    anything = __import__("re").compile("")
+    for gate in ("_HAS_DIGITS", "_PLACE", "_CAPITALS"):
+        monkeypatch.setattr(pii, gate, anything)
+    assert [pii.detect(x) for x in lines] == gated
+    assert {t for x in gated for _, _, t in x} == set(pii.TYPES)
+
+
 def test_pii_edges(spark, rows):
     df = frame(spark, [*EDGE, "x a@b.example\n\na@b.example c@d.example", "w " * 100_000 + "a@b.example"])
     assert rows(pii.found(df)) == [(5, 1, "email"), (5, 3, "email"), (6, 1, "email")]

@@ -1,8 +1,9 @@
 """Problem 1: personal information inside free text.
 
 Offset-preserving deobfuscation. A first transducer maps every character to one character (case, accents, final sigma,
-wide digits and, inside mixed-script tokens, homoglyphs); a second rewrites spelled digits and at/dot disguises and keeps
-for every character of its output the source character it stands for. Identifiers are detected in the normalised text and
+wide digits). Further ones drop combining marks, replace look-alike letters in tokens of mixed script and letters that
+stand for zeros in numbers, and rewrite spelled digits and at/dot disguises; each keeps for every character of its output
+the stretch of source characters it stands for. Identifiers, addresses and names are detected in the normalised text and
 their spans are mapped back to the source, where they become typed placeholders. One narrow pass; nothing is shuffled.
 """
 
@@ -43,8 +44,9 @@ class _One(dict):
 
 _ONE = _One()
 
-#: Greek and Cyrillic letters that look like Latin ones.
-HOMOGLYPHS = str.maketrans("αβεζηικμνορτυχωасекморхуіјѕ", "abeznikmvoptuxwacekmopxyijs")
+#: Greek and Cyrillic letters that look like Latin ones, and Latin and Cyrillic ones that look like Greek.
+TO_LATIN = str.maketrans("αβεζηικμνορτυχωасекморхуіјѕ", "abeznikmvoptuxwacekmopxyijs")
+TO_GREEK = str.maketrans("abehikmnopuvwxyztаеікмнорхутв", "αβεηικμνορυνωχυζταεικμηορχυτβ")
 #: Digits in words, Greek and English, folded.
 DIGIT_WORDS = {"μηδεν": "0", "ενα": "1", "δυο": "2", "τρια": "3", "τεσσερα": "4", "πεντε": "5", "εξι": "6", "επτα": "7", "εφτα": "7", "οκτω": "8", "οχτω": "8", "εννεα": "9", "εννια": "9", "zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _SPELLED = re.compile(r"\b(?:(?:%s)\b[ ,.-]*){6,}" % "|".join(DIGIT_WORDS))
@@ -52,51 +54,102 @@ _DIGIT_WORD = re.compile("|".join(sorted(DIGIT_WORDS, key=len, reverse=True)))
 _AT = re.compile(r"\s*[\[({<]\s*(?:at|παπακι|papaki|@)\s*[\])}>]\s*|\s+(?:παπακι|papaki)\s+|(?<=[a-z0-9]) at (?=[a-z0-9][\w-]*(?:\.[\w-]+)* ?(?:dot|[\[(]dot[\])]|\.) ?[a-z])|(?<=[a-z0-9_])\s*@\s*(?=[a-z0-9])")
 _DOT = re.compile(r"\s*[\[({<]\s*(?:dot|τελεια|teleia|\.)\s*[\])}>]\s*|\s+(?:τελεια|teleia|dot)\s+|(?<=[a-z0-9])\s+\.\s+(?=[a-z])")
 _SIGN = re.compile(r"@|παπακι|papaki|[\[({<]\s*at\s*[\])}>]| at [a-z0-9.-]+ ?(?:dot|[\[(])")
-_MIXED = re.compile(r"[a-z0-9._+@-]*(?:[a-z][α-ωа-я]|[α-ωа-я][a-z])[a-z0-9α-ωа-я._+@-]*")
+_MIXED = re.compile(r"[a-z0-9._+@-]*(?:[a-z][α-ωа-я]|[α-ωа-я][a-z]|[α-ω][а-я]|[а-я][α-ω])[a-z0-9α-ωа-я._+@-]*")
+_MARKS = re.compile("[\u0300-\u036f]+")
+_OH = re.compile(r"(?<![^\W_])(?=[\doο .()-]*\d[oο]|[\doο .()-]*[oο]\d)[+(\doο](?:[\doο .()-]{5,}[\doο])(?![^\W_])")
+_GREEK_LETTER = re.compile("[α-ω]")
+_LATIN_LETTER = re.compile("[a-z]")
+
+Rewritten = Iterator[tuple[str, int, int]]
 
 
 class Normal:
-    """A normalised line; `at[i]` is the source offset of character i, with one more entry for the end."""
+    """A normalised line; character i stands for the source characters starts[i] up to ends[i]."""
 
     def __init__(self, once: str) -> None:
         self.text = once  # a line after the first transducer
-        self.at: list[int] | None = None  # None: every character stands for itself
+        self.starts: list[int] | None = None  # None: every character stands for itself
+        self.ends: list[int] | None = None
 
-    def rewrite(self, pattern: re.Pattern[str], to: Callable[[re.Match[str]], list[tuple[str, int]]]) -> None:
-        """Replace matches; `to` gives characters with their offset in the match."""
-        out, at, last = [], [], 0
-        old = self.at or range(len(self.text) + 1)
+    def rewrite(self, pattern: re.Pattern[str], to: Callable[[re.Match[str]], Rewritten]) -> None:
+        """Replace matches; `to` gives characters with the stretch of the match, from and up to, that each stands for."""
+        out, starts, ends, last = [], [], [], 0
+        a, b = self.starts or range(len(self.text)), self.ends or range(1, len(self.text) + 1)
         for m in pattern.finditer(self.text):
             out.append(self.text[last : m.start()])
-            at.extend(old[last : m.start()])
-            for ch, k in to(m):
+            starts.extend(a[last : m.start()])
+            ends.extend(b[last : m.start()])
+            for ch, i, j in to(m):
                 out.append(ch)
-                at.append(old[m.start() + k])
+                starts.append(a[m.start() + i])
+                ends.append(b[m.start() + j - 1])
             last = m.end()
         if last:
             out.append(self.text[last:])
-            at.extend(old[last:])
-            self.text, self.at = "".join(out), at
+            starts.extend(a[last:])
+            ends.extend(b[last:])
+            self.text, self.starts, self.ends = "".join(out), starts, ends
 
     def span(self, a: int, b: int) -> tuple[int, int]:
         """Source span of the characters a..b-1."""
-        return (a, b) if self.at is None else (self.at[a], self.at[b - 1] + 1 if self.at[b] - self.at[b - 1] == 1 else self.at[b])
+        return (a, b) if self.starts is None else (self.starts[a], self.ends[b - 1])
+
+    def cased(self, line: str) -> str:
+        """The text with the capitals of the source line."""
+        if self.starts is None:
+            return line
+        return "".join(c.upper() if line[a].isupper() else c for c, a in zip(self.text, self.starts, strict=True))
+
+
+def _same(text: str) -> Rewritten:
+    return ((c, k, k + 1) for k, c in enumerate(text))
+
+
+def _one_script(m: re.Match[str]) -> Rewritten:
+    """A token of mixed script in the script most of its letters have; addresses of mail are Latin."""
+    token = m[0]
+    latin = "@" in token or len(_LATIN_LETTER.findall(token)) >= len(_GREEK_LETTER.findall(token))
+    return _same(token.translate(TO_LATIN if latin else TO_GREEK))
 
 
-def normalised(once: str) -> Normal:
+def _digits_of(m: re.Match[str]) -> Rewritten:
+    """A digit for each word; what follows the last one stays."""
+    last = 0
+    for w in _DIGIT_WORD.finditer(m[0]):
+        yield DIGIT_WORDS[w[0]], w.start(), w.end()
+        last = w.end()
+    for k in range(last, len(m[0])):
+        yield m[0][k], k, k + 1
+
+
+def letters(once: str) -> Normal:
+    """A line after the transducers that work letter by letter."""
     n = Normal(once)
+    if _MARKS.search(n.text):
+        n.rewrite(_MARKS, lambda m: iter(()))
     if _MIXED.search(n.text):
-        n.rewrite(_MIXED, lambda m: [(c, k) for k, c in enumerate(m[0].translate(HOMOGLYPHS))])
-    if _SPELLED.search(n.text):
-        n.rewrite(_SPELLED, lambda m: [(DIGIT_WORDS[w[0]], w.start()) for w in _DIGIT_WORD.finditer(m[0])] + [(" ", len(m[0]) - 1)])
-    if _SIGN.search(n.text):
-        n.rewrite(_AT, lambda m: [("@", 0)])
-        if "@" in n.text:
-            n.rewrite(_DOT, lambda m: [(".", 0)])
+        n.rewrite(_MIXED, _one_script)
     return n
 
 
-_EMAIL = re.compile(r"[a-z0-9][a-z0-9._%+-]*@[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}")
+def disguises(n: Normal) -> Normal:
+    """A copy of a line after the transducers for zeros, spelled digits and at/dot."""
+    out = Normal(n.text)
+    out.starts, out.ends = n.starts, n.ends
+    if _OH.search(out.text):
+        out.rewrite(_OH, lambda m: _same(m[0].translate({ord("o"): "0", ord("ο"): "0"})))
+    if _SPELLED.search(out.text):
+        out.rewrite(_SPELLED, _digits_of)
+    if _SIGN.search(out.text):
+        out.rewrite(_AT, lambda m: iter([("@", 0, len(m[0]))]))
+        if "@" in out.text:
+            out.rewrite(_DOT, lambda m: iter([(".", 0, len(m[0]))]))
+    return out
+
+
+_EMAIL = re.compile(r"[^\W_][\w.%+-]*@(?:[\w-]+\.)+[^\W\d_]{2,}")
+#: A number with a foreign country's code, groups divided by at most two signs.
+_FOREIGN = re.compile(r"(?<![\w.,/+(-])\+(?!30(?!\d)|30\d{10}(?!\d))[1-9]\d{0,3}(?:[ .-]{0,2}\(?\d{1,5}\)?){1,6}(?![\w,]*\d)")
 _PHONE = re.compile(r"(?<![\w.,/+(-])(?:\(?(?:\+|00)30\)?[ .-]{0,2})?(?:\(\d{2,5}\)|\d{2,14})(?:[ .-]{0,2}\d{1,10}){0,5}(?![\w,]*\d)")
 _ID = re.compile(
     r"(?<![a-zα-ω])(?:α\.?φ\.?μ\.?|a\.?f\.?m\.?|α\.?μ\.?κ\.?α\.?|a\.?m\.?k\.?a\.?|α\.?δ\.?τ\.?|a\.?d\.?t\.?|(?:αριθμοσ |αρ\. ?|δελτιο |δελτιου )?(?:αστυνομικησ )?ταυτοτητασ?|φορολογικου μητρωου|μητρωου κοινωνικησ ασφαλισησ|κοινωνικησ ασφαλισησ|ταυτ\.|διαβατηριου?|vat|ssn|passport)(?![a-zα-ω])"
@@ -106,19 +159,39 @@ _STREET = re.compile(
     r"(?<![a-zα-ω])(?:επι τησ )?(?:οδοσ|οδου|οδο|λεωφοροσ|λεωφορου|λεωφορο|λεωφ\.?|λ\.|πλατειασ?|πλ\.|odos|leoforos|leof\.?)\s+((?:[a-zα-ω]+\.? ){0,3}?[a-zα-ω]+),?\s+(?:αριθμοσ |αριθμο |αρ\.? ?|no\.? ?)?(\d{1,4})(?:\s?[a-zα-ω])?(?![\w.]*\d)(?![a-zα-ω])"
 )
 _BARE = re.compile(r"(?<![\w.])([a-zα-ω]{4,}(?: [a-zα-ω]{4,})?) (\d{1,3})\s?[a-zα-ω]?(?: ?& ?[a-zα-ω]+)?,? (?:(?:τ\.? ?κ\.?|tk) ?\d{3} ?\d{2}|\d{3} ?\d{2}(?!\d))(?:,? [α-ω]+)?")
+#: Large Greek cities, folded, in the nominative or accusative.
+CITIES = ("αθηνα", "θεσσαλονικη", "πατρα", "πειραιασ", "πειραια", "ηρακλειο", "λαρισα", "βολοσ", "βολο", "ιωαννινα", "χανια", "καλαματα", "ροδοσ", "καβαλα", "σερρεσ", "τριπολη", "κορινθοσ", "χαλκιδα", "λαμια", "κομοτηνη", "ξανθη", "δραμα", "κοζανη", "μυτιληνη", "λευκωσια", "λεμεσοσ")
+_CITY = re.compile(rf"(?<![\w.])([α-ω]{{4,}}(?: [α-ω]{{4,}})?) (\d{{1,3}})\s?[α-ω]?, (?:{'|'.join(CITIES)})(?!\w)")
 _ENGLISH_STREET = re.compile(r"\b\d{1,4}[a-z]? (?:[a-z]+ ){1,3}(?:street|avenue|road|lane|boulevard|square)\b")
 
 #: What every address has: a street word, a postal code, or an English street word.
-_PLACE = re.compile(r"(?<![a-zα-ω])(?:οδ[οό][σύυ]?|οδου|λεωφ|πλατεια|πλ\.|λ\.|odos|leof)[^\d]{0,60}\d|\d[\s\S]{0,40}?\b\d{3} ?\d{2}(?!\d)|(?:street|avenue|road|lane|boulevard|square)\b")
+_PLACE = re.compile(r"(?<![a-zα-ω])(?:οδ[οό][σύυ]?|οδου|λεωφ|πλατεια|πλ\.|λ\.|odos|leof)[^\d]{0,60}\d|\d[\s\S]{0,40}?\b\d{3} ?\d{2}(?!\d)|[α-ω] \d{1,3} ?[α-ω]?, [α-ω]|(?:street|avenue|road|lane|boulevard|square)\b")
 
-_UPPER = "A-ZΑ-ΩΆΈΉΊΌΎΏΪΫ"
-_PAIR = re.compile(rf"(?<![\w.])(?=(([{_UPPER}])(?:\.|[^\W\d_]+)[  ]?(?<=[  .])([{_UPPER}][^\W\d_]{{2,}}))(?![\w@]))")
+_UPPER = "A-ZΑ-ΩΆΈΉΊΌΎΏΪΫÀ-ÖØ-ÞА-Я"
+_PAIR = re.compile(rf"(?<![\w.])(?=(([{_UPPER}])(?:\.|[^\W\d_]+)[ \xa0]?(?<=[ \xa0.])([{_UPPER}][^\W\d_]{{2,}}))(?![\w@]))")
 _FAMILY = re.compile(r"(?:οπουλοσ|οπουλου|οπουλο|ιδησ|ιδη|ιδου|ιαδησ|αδησ|αδη|αδου|ακησ|ακη|ατοσ|ατου|ατο|ελησ|ελη|ουδησ|ουδη|ακοσ|ακου|ογλου|εασ|ιωτησ|ιωτη|ουλησ|ουλη|ινοσ|ινου|ιανοσ|ιανου)$")
 _STRONG = re.compile(r"(?:οπουλοσ|οπουλου|οπουλο|ιδησ|ιδου|ιαδησ|αδησ|ακησ|ατοσ|ατου|ελησ|ουδησ|ογλου)$")
 _SAID = re.compile(rf"\b(?:[Aa]ccording to|[Bb]y|[Cc]ontact|Mr\.?|Mrs\.?|Ms\.?|Dr\.?|author|editor) ([A-Z][a-z]+|[A-Z]\.) ([A-Z][a-z]{{2,}})\b")
 
 #: Common Greek given names, folded, in the nominative; case forms follow by rule.
-GIVEN = """αθανασιοσ αικατερινη αλεξανδρα αλεξανδροσ αλεξησ αλικη αναστασια αναστασιοσ ανδρεασ αννα αντωνησ αντωνιοσ αργυρω αρησ αριστειδησ αρτεμισ ασημινα αθηνα βαγγελησ βαλια βαρβαρα βασιλειοσ βασιλησ βασιλικη βικτωρ γεωργια γεωργιοσ γιαννησ γιωργοσ γρηγορησ δαναη δαφνη δημητρα δημητρησ δημητριοσ διονυσησ δομνα ειρηνη ελενη ελευθερια ελευθεριοσ ελισαβετ ελλη ελπιδα ερμησ ευα ευαγγελια ευαγγελοσ ευγενια ευη ευστρατιοσ ζηνων ζωη ηλεκτρα ηλιασ ηρω θαλεια θανασησ θεμησ θεοδωρα θεοδωροσ θωμασ ιακωβοσ ιασονασ ιολη ιουλια ιωαννα ιωαννησ ιωσηφ καιτη καλλιοπη κατερινα κλειω κλεοπατρα κωνσταντινα κωνσταντινοσ κωστασ λαμπροσ λεωνιδασ λουκασ λυδια μαγδα μαρια μαριαννα μαριλενα μαρινα μαριοσ μαρκοσ μηνασ μιχαλησ μιχαηλ μυρτω ναταλια νεφελη νικη νικολαοσ νικοσ ξενια ολγα ορεστησ παναγιωτα παναγιωτησ παντελησ παρασκευη παυλοσ πελαγια πετροσ πηνελοπη ρεα ρενα ρωξανη σοφια σπυροσ σπυριδων στελιοσ στεφανοσ στεφανια στυλιανοσ σωτηρησ σωκρατησ τασοσ τατιανα φαιδρα φανησ φιλιπποσ φωτεινη φωτησ χαραλαμποσ χαρησ χλοη χρηστοσ χριστινα χρυσα""".split()
+GIVEN = """αγγελικη αγγελοσ αθανασιοσ αικατερινη αλεξανδρα αλεξανδροσ αλεξησ αλικη αναστασια αναστασιοσ ανδρεασ αννα αντωνησ αντωνιοσ αντιγονη αργυρω αρησ αριστειδησ αρτεμισ ασημινα αχιλλεασ αθηνα βαγγελησ βαλια βαρβαρα βασιλειοσ βασιλησ βασιλικη βικτωρ γεωργια γεωργιοσ γιαννησ γιωργοσ γρηγορησ δαναη δαφνη δεσποινα δημητρα δημητρησ δημητριοσ διονυσησ δομνα ειρηνη ελενη ελευθερια ελευθεριοσ ελισαβετ ελλη ελπιδα ερμησ ευα ευαγγελια ευαγγελοσ ευγενια ευη ευστρατιοσ ζαχαριασ ζηνων ζωη ηλεκτρα ηλιασ ηρω θαλεια θανασησ θεμησ θεοδωρα θεοδωροσ θωμασ ιακωβοσ ιασονασ ιολη ιουλια ιωαννα ιωαννησ ιωσηφ καιτη καλλιοπη κατερινα κλειω κλεοπατρα κωνσταντινα κωνσταντινοσ κυριακοσ κωστασ λαμπροσ λεωνιδασ λουκασ λυδια μαγδα μαρια μαριαννα μαριλενα μαρινα μαριοσ μαρκοσ μελινα μηνασ μιχαλησ μιχαηλ μυρτω ναταλια νεφελη νικη νικολαοσ νικοσ ξενια οδυσσεασ ολγα ορεστησ παναγιωτα παναγιωτησ παντελησ παρασκευη παυλοσ πελαγια περικλησ πετροσ πηνελοπη ρεα ρενα ρωξανη σοφια σπυροσ σπυριδων σταυροσ στελιοσ στεφανοσ στεφανια στυλιανοσ σωτηρησ σωκρατησ τασοσ τατιανα φαιδρα φανησ φιλιπποσ φοιβοσ φωτεινη φωτησ χαραλαμποσ χαρησ χλοη χρηστοσ χριστινα χρυσα""".split()
+
+
+#: Common given names in other languages, folded; Cyrillic ones in Cyrillic.
+GIVEN_OTHER = """john james robert michael william david richard joseph thomas charles mary patricia jennifer linda elizabeth barbara susan jessica sarah karen peter paul mark george andrew steven emma olivia sophia alice daniel matthew anthony laura julia anna maria
+hans peter klaus jurgen wolfgang heinz stefan markus sabine ursula monika petra heike greta jean pierre michel jacques marie claire sophie camille louis antoine ivan georgi dimitar petar nikolay mehmet ahmet mustafa ayse fatma emine
+мария иван георги димитър петър николай елена анна сергей александр дмитрий ольга татьяна наталья стоян васил""".split()
+#: Endings of Bulgarian and Russian family names.
+_SLAVIC_FAMILY = re.compile("(?:ов|ова|ев|ева|ин|ина|ски|ска|ский|ская|енко)$")
+#: How Greek letters and pairs of them are written in Latin letters; the longer ones come first.
+_ROMAN = (("ου", "ou"), ("ευ", "ef"), ("αυ", "av"), ("γγ", "ng"), ("μπ", "b"), ("ντ", "nt"), ("γκ", "gk"), ("α", "a"), ("β", "v"), ("γ", "g"), ("δ", "d"), ("ε", "e"), ("ζ", "z"), ("η", "i"), ("θ", "th"), ("ι", "i"), ("κ", "k"), ("λ", "l"), ("μ", "m"), ("ν", "n"), ("ξ", "x"), ("ο", "o"), ("π", "p"), ("ρ", "r"), ("σ", "s"), ("τ", "t"), ("υ", "y"), ("φ", "f"), ("χ", "ch"), ("ψ", "ps"), ("ω", "o"))
+
+
+def roman(name: str) -> str:
+    """A folded Greek name in Latin letters."""
+    for a, b in _ROMAN:
+        name = name.replace(a, b)
+    return name
 
 
 def forms(name: str) -> set[str]:
@@ -130,15 +203,27 @@ def forms(name: str) -> set[str]:
 
 
 GIVEN_FORMS = frozenset(f for n in GIVEN for f in forms(n))
+GIVEN_ROMAN = frozenset(roman(n) for n in GIVEN) | frozenset(GIVEN_OTHER)
+_ROMAN_FAMILY = re.compile("(?:opoulos|opoulou|idis|idou|iadis|adis|akis|aki|atos|atou|elis|oudis|oglou|akos|eas|iotis|oulis|inos|ianos)$")
 #: Folded words that open sentences or name places and things, and so are no given names.
 NOT_GIVEN = frozenset("ο η το οι τα στο στη στην στον στουσ στισ στα του τησ των τον την τουσ τισ και με για απο γιατι κατα προσ επι οδοσ οδου λεωφοροσ πλατεια λεωφ κ κα".split())
 
-_HAS_DIGITS = re.compile(r"\d[\d \xa0().-]{4,}\d")
+_HAS_DIGITS = re.compile(r"\d(?:[^\d\n]{0,4}\d){5}")
+_CAPITALS = re.compile(rf"[{_UPPER}](?:\.|[^\W\d_]+\.?)[ \xa0]?[{_UPPER}]")
+#: Folded endings of Greek family names that other words have as well; they count after a known given name only.
+_GREEK_FAMILY = re.compile("(?:[α-ω]{3})(?:ησ|η|ασ|α|οσ|ου|ο|ωφ|εζ|ελου)$")
+_NOT_GREEK = re.compile(r"[^\W\d_α-ω]{3,}$")
+_CYRILLIC = re.compile("[а-яѐ-џ]")
+#: English words that open sentences before a family name.
+ENGLISH_OPENERS = frozenset("the and but for with from when where why how dear hello street mr mrs ms dr sir of in at on to by".split())
 _LETTER = re.compile(r"[^\W\d_]")
 
 
 def _phones(n: Normal) -> Iterator[tuple[int, int]]:
     text = n.text
+    for m in _FOREIGN.finditer(text):
+        if 8 <= len(re.sub(r"\D", "", m[0])) <= 15:
+            yield m.span()
     plain = _LETTER.search(text) is None
     for m in _PHONE.finditer(text):
         a, b = m.start(), m.end()
@@ -161,13 +246,14 @@ def _phones(n: Normal) -> Iterator[tuple[int, int]]:
 
 
 def _names(line: str) -> Iterator[tuple[int, int]]:
+    """Spans of a given name or initial with a family name in a line with its capitals."""
     for m in _PAIR.finditer(line):
         a, b = m.start(1), m.end(1)
         c = m.start(3)
         first, second = line[a:c].strip(), m[3]
         one, two = first.translate(_ONE), second.translate(_ONE)
         if first.endswith("."):
-            if len(first) == 2 and _FAMILY.search(two) and not first.isascii():
+            if len(first) == 2 and (_FAMILY.search(two) if not first.isascii() else _ROMAN_FAMILY.search(two)):
                 yield a, b
             continue
         if one in NOT_GIVEN or two in NOT_GIVEN:
@@ -175,6 +261,13 @@ def _names(line: str) -> Iterator[tuple[int, int]]:
         upper = first.isupper() and len(first) > 1
         if (one in GIVEN_FORMS and _FAMILY.search(two)) or (two in GIVEN_FORMS and _FAMILY.search(one)) or (not upper and not second.isupper() and _STRONG.search(two) and len(two) >= 8 and len(one) >= 3 and not _FAMILY.search(one) and _known(one)):
             yield a, b
+        elif one in GIVEN_ROMAN and _NOT_GREEK.match(two) and (not upper or second.isupper()):
+            if not _CYRILLIC.match(two) or _SLAVIC_FAMILY.search(two):
+                yield a, b
+        elif _ROMAN_FAMILY.search(two) and two.isascii() and one.isascii() and len(two) >= 7 and one not in ENGLISH_OPENERS:
+            yield a, b
+        elif one in GIVEN_FORMS and not upper and not second.isupper() and _GREEK_FAMILY.search(two) and len(two) >= 5 and two not in GIVEN_FORMS:
+            yield a, b
     for m in _SAID.finditer(line):
         yield m.start(1), m.end(2)
 
@@ -184,23 +277,24 @@ def _known(one: str) -> bool:
     return one.endswith(("οσ", "ησ", "ασ", "α", "η", "ω", "ου")) and one not in NOT_GIVEN
 
 
-def detect(line: str) -> list[tuple[int, int, str]]:
-    """Spans (start, end, type) of personal information in a line, in order and without overlap."""
+def detect(line: str, lower: str | None = None) -> list[tuple[int, int, str]]:
+    """Spans (start, end, type) of personal information in a line, in order and without overlap.
+
+    `lower` is the line after the first transducer, if it is known. Each detector asks first for something that all its
+    matches have, in the same normalised text it then searches.
+    """
     out: list[tuple[int, int, str]] = []
-    lower = line.translate(_ONE)
-    signs = bool(_SIGN.search(lower))
-    digits = bool(_HAS_DIGITS.search(line))
-    special = signs or bool(_SPELLED.search(lower))
-    n = normalised(lower) if special else Normal(lower)
+    base = letters(line.translate(_ONE) if lower is None else lower)
+    n = disguises(base)
 
     def add(a: int, b: int, kind: str) -> None:
         if all(b <= x or a >= y for x, y, _ in out):
             out.append((a, b, kind))
 
-    if signs or "@" in n.text:
+    if "@" in n.text:
         for m in _EMAIL.finditer(n.text):
             add(*n.span(m.start(), m.end()), "email")
-    if digits or n.at is not None:
+    if _HAS_DIGITS.search(n.text):
         for m in _ID.finditer(n.text):
             body = re.sub(r"\D", "", m[1])
             if m[1][0].isdigit() and len(body) not in (9, 11):
@@ -208,38 +302,39 @@ def detect(line: str) -> list[tuple[int, int, str]]:
             add(*n.span(m.start(1), m.end(1)), "id_number")
         for a, b in _phones(n):
             add(*n.span(a, b), "phone")
-    if _PLACE.search(lower):
-        for pattern in (_STREET, _BARE):
-            for m in pattern.finditer(lower):
-                if line[m.start(1)].isupper() or line[m.start(1) : m.end(1)].split()[-1][:1].isupper():
-                    add(m.start(), m.end(), "address")
-        for m in _ENGLISH_STREET.finditer(lower):
-            if re.search(r"[A-Z]", line[m.start() : m.end()]):
-                add(m.start(), m.end(), "address")
-    for a, b in _names(line):
-        add(a, b, "name")
+    text = base.text
+    places = bool(_PLACE.search(text))
+    shown = base.cased(line)
+    if not places and not _CAPITALS.search(shown):
+        return sorted(out)
+    if places:
+        for pattern in (_STREET, _BARE, _CITY):
+            for m in pattern.finditer(text):
+                if shown[m.start(1)].isupper() or shown[m.start(1) : m.end(1)].split()[-1][:1].isupper():
+                    add(*base.span(m.start(), m.end()), "address")
+        for m in _ENGLISH_STREET.finditer(text):
+            if re.search(r"[A-Z]", shown[m.start() : m.end()]):
+                add(*base.span(m.start(), m.end()), "address")
+    for a, b in _names(shown):
+        add(*base.span(a, b), "name")
     return sorted(out)
 
 
-#: A line without any of these holds nothing that `detect` looks for.
-TRIGGER = re.compile(rf"@|\d[\d \xa0().-]{{4,}}\d|παπ[αά]κι|papaki|[\[(] ?at ?[\])]| at |(?:[{_UPPER}]\.|[{_UPPER}][^\W\d_]+)[ \xa0]?[{_UPPER}][^\W\d_]{{2,}}|[{_UPPER}α-ω][^\W\d_]+,? (?:αριθμός )?\d{{1,3}}|(?:{'|'.join(['έξι', 'εννέα', 'επτά', 'δύο', 'two', 'six', 'nine'])})[ ,.-]+\w+[ ,.-]+\w+")
-
-
-def line_types(line: str) -> list[tuple[int, int, str]]:
-    return detect(line) if TRIGGER.search(line) else []
-
-
 def found(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, pii_type), each once. Null and empty texts hold nothing. A garbled line is also read repaired."""
 
     def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
         def f(ids: list[int], texts: list[str | None]) -> Iterator[tuple[Any, ...]]:
             for i, text in zip(ids, texts, strict=True):
-                for k, line in enumerate((text or "").split("\n"), 1):
-                    kinds = {t for _, _, t in line_types(line)}
+                if not text:
+                    continue
+                for k, (line, lower) in enumerate(zip(text.split("\n"), text.translate(_ONE).split("\n"), strict=True), 1):
+                    if not line:
+                        continue
+                    kinds = {t for _, _, t in detect(line, lower)}
                     fixed = quick_repair(line)
                     if fixed is not line and fixed != line:
-                        kinds |= {t for _, _, t in line_types(fixed)}
+                        kinds |= {t for _, _, t in detect(fixed)}
                     for t in sorted(kinds):
                         yield i, k, t
 
@@ -250,9 +345,9 @@ def found(docs: DataFrame) -> DataFrame:
 
 def redact_line(line: str) -> tuple[str, int]:
     """The line with typed placeholders, and how many; a garbled line with something personal is given repaired."""
-    spans = line_types(line)
+    spans = detect(line)
     fixed = quick_repair(line)
-    if fixed != line and len(more := line_types(fixed)) > len(spans):
+    if fixed != line and len(more := detect(fixed)) > len(spans):
         line, spans = fixed, more
     out, last = [], 0
     for a, b, kind in spans:
