@@ -288,13 +288,53 @@ def test_components_of_random_graphs(spark, rows):
 def test_minhash_clusters(spark, rows, portable):
     text = " ".join(f"λέξη{i}" for i in range(80))
     docs = spark.createDataFrame([(1, text, "f", 3), (2, text, "f", 1), (3, text.upper(), "f", 2), (4, "τρεις μόνο λέξεις", "f", 4), (5, None, "f", 5), (6, "τρεις μόνο λέξεις", "f", 6)], "doc_id bigint, text string, warc_filename string, warc_record_offset bigint")
-    got = minhash.clusters(docs, portable)
+    got = minhash.clusters(docs, portable, None if portable else 0.8)
     assert rows(got) == [(1, 1, 3), (2, 1, 3), (3, 1, 3), (4, 4, 1), (5, 5, 1), (6, 6, 1)]
     kept = minhash.keep_one(docs, got)
     assert rows(kept, "doc_id") == [(2,), (4,), (5,), (6,)]
     assert rows(minhash.removed(docs, kept), "doc_id") == [(1,), (3,)]
 
 
+def jaccard(a, b):
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (minhash.normal_words(x) for x in (a, b))]
+    return len(sets[0] & sets[1]) / max(len(sets[0] | sets[1]), 1)
+
+
+def test_clusters_are_components_of_similar_pairs_of_a_bucket(spark, rows):
+    """Against all pairs that share a band: near texts of many degrees, copies, chains and a bucket with many clusters."""
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("αβγδεζηθ") for _ in range(7))
+    texts = []
+    for _ in range(6):
+        base = [word() for _ in range(120)]
+        for _ in range(14):
+            ws = list(base)
+            for _ in range(r.choice([0, 1, 2, 3, 5])):
+                ws[r.randrange(len(ws))] = word()
+            texts.append(" ".join(ws))
+    docs = spark.createDataFrame([(i, t, "f", i) for i, t in enumerate(texts)], "doc_id bigint, text string, warc_filename string, warc_record_offset bigint")
+    buckets = {}
+    for x in minhash.sketches(docs).collect():
+        for b in x.buckets:
+            buckets.setdefault(bytes(b), set()).add(x.doc_id)
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for own in buckets.values():
+        for u in own:
+            for v in own:
+                if u < v and jaccard(texts[u], texts[v]) >= 0.8:
+                    a, b = find(u), find(v)
+                    parent[max(a, b)] = min(a, b)
+    got = {x.doc_id: x.cluster_id for x in minhash.clusters(docs).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
+    assert 6 < len(set(got.values())) < len(texts)
+
+
 def test_hot_bucket_is_one_component(spark, rows):
     edges = spark.createDataFrame([(0, i) for i in range(1, 3000)] + [(2999, 3000), (3000, 3001)], "u bigint, v bigint")
     got = rows(minhash.components(edges))

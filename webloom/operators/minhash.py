@@ -1,6 +1,7 @@
 """Near-duplicate removal over a whole crawl: MinHash signatures, bands, components, one document a cluster.
 
-Shingles have 64-bit hashes; a portable form with short hashes is what other engines can compute too.
+Shingles have 64-bit hashes; a portable form with short hashes is what other engines can compute too. Bands only propose:
+by default documents are near-duplicates if their sets of shingles have a Jaccard similarity of SIMILARITY or more.
 """
 
 from __future__ import annotations
@@ -8,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import random
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -18,9 +20,10 @@ from pyspark.sql import functions as F
 
 from webloom.functions.arrow import map_rows
 from webloom.functions.joins import salted
-from webloom.session import cut
+from webloom.session import cut, small
 
 BANDS, ROWS, SHINGLE, PRIME = 14, 8, 5, (1 << 31) - 1
+SIMILARITY = 0.8
 
 
 def permutations(n: int = BANDS * ROWS, seed: int = 1) -> list[tuple[int, int]]:
@@ -62,7 +65,7 @@ def minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, each: int = 2048) -
 
 
 def sketches(docs: DataFrame, portable: bool = False) -> DataFrame:
-    """(doc_id, sketch, buckets) of documents with at least SHINGLE words: a digest of the signature and one of each band. Narrow."""
+    """(doc_id, sketch, buckets) of documents with at least SHINGLE words: a digest of the set of shingles and one of each band. Narrow."""
     ab = permutations()
     r = random.Random(2)
     wide = [(r.getrandbits(64) | 1, r.getrandbits(64)) for _ in range(BANDS * ROWS)]
@@ -76,7 +79,7 @@ def sketches(docs: DataFrame, portable: bool = False) -> DataFrame:
                 h = hashes(normal_words(text))
                 if len(h):
                     rows = minima(h, a, b)
-                    yield i, xxhash.xxh3_128_digest(rows.tobytes()), [xxhash.xxh3_128_digest(bytes([k]) + rows[k * ROWS : (k + 1) * ROWS].tobytes()) for k in range(BANDS)]
+                    yield i, xxhash.xxh3_128_digest(np.sort(h).tobytes()), [xxhash.xxh3_128_digest(bytes([k]) + rows[k * ROWS : (k + 1) * ROWS].tobytes()) for k in range(BANDS)]
 
         return f
 
@@ -122,8 +125,83 @@ def edges(sketched: DataFrame) -> DataFrame:
 
     So copies, however many, make one row a bucket; they are tied to their least document by one edge each.
     """
-    first = sketched.groupBy("sketch").agg(F.min(F.struct("doc_id", "buckets")).alias("f")).select("f.doc_id", F.explode("f.buckets").alias("bucket"))
-    return _stars(sketched.select("doc_id", "sketch"), ["sketch"]).unionByName(_stars(first, ["bucket"])).distinct()
+    return _copies(sketched).unionByName(_stars(_bucketed(sketched), ["bucket"])).distinct()
+
+
+def _copies(sketched: DataFrame) -> DataFrame:
+    return _stars(sketched.select("doc_id", "sketch"), ["sketch"])
+
+
+def _bucketed(sketched: DataFrame) -> DataFrame:
+    """(doc_id, bucket) of the least document of each sketch."""
+    return sketched.groupBy("sketch").agg(F.min(F.struct("doc_id", "buckets")).alias("f")).select("f.doc_id", F.explode("f.buckets").alias("bucket"))
+
+
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, shingles): the distinct shingles' hashes. Narrow."""
+
+    def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
+        def f(ids: list[int], texts: list[str | None]) -> Iterator[tuple[Any, ...]]:
+            for i, text in zip(ids, texts, strict=True):
+                yield i, np.unique(wide_hashes(normal_words(text)).view(np.int64)).tolist()
+
+        return f
+
+    return map_rows(docs, ["doc_id", "text"], "doc_id bigint, shingles array<bigint>", make)
+
+
+#: Pairs of one document that one task verifies.
+PAIRS_A_TASK = 2000
+
+
+def similar(pairs: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The pairs (u, v) whose sets of shingles have a Jaccard similarity of at least `least`, each set in full.
+
+    Only sets of documents in pairs are made and moved. A document in many pairs is split over tasks.
+    """
+    pairs = cut(pairs.select("u", "v").distinct())
+    ids = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+    sets = cut(shingle_sets(docs.select("doc_id", "text").join(small(cut(ids)), "doc_id", "left_semi")))
+    busy = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_TASK).cast("int").alias("parts")).where("parts > 1")
+    busy = F.broadcast(cut(busy))  # at most a PAIRS_A_TASK-th of the pairs
+    one = F.coalesce("parts", F.lit(1))
+    left = pairs.join(busy, "u", "left").withColumn("part", F.pmod(F.xxhash64("v"), one).cast("int")).drop("parts")
+    by_u = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a")).join(busy, "u", "left").withColumn("part", F.explode(F.sequence(F.lit(0), one - 1))).drop("parts")
+    met = left.join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b")), "v").join(by_u, ["u", "part"])
+    both = F.size(F.array_intersect("a", "b"))
+    enough = both + 1e-9 >= least * (F.size("a") + F.size("b") - both)  # a similarity of just `least` is enough
+    return met.where((both > 0) & enough).select("u", "v")
+
+
+def verified(docs: DataFrame, sketched: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(doc_id, cluster_id) of the documents tied by copies and by pairs of a common bucket that are similar enough.
+
+    In rounds: each open bucket's next document is compared with those after it that are in other clusters by now. A bucket
+    is open while it holds two clusters and has a next document, so no pair of a bucket that could join two clusters is
+    left out, yet pairs are never all made at once, and most buckets are one cluster after the first round.
+    """
+    copies = _copies(sketched)
+    members = _bucketed(sketched)
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    opened = cut(salted(members, shared, ["bucket"], "left_semi", "doc_id").withColumn("cluster", F.col("doc_id")))
+    ties = [cut(copies)]
+    last = None
+    while not opened.isEmpty():
+        after = opened if last is None else salted(opened, last, ["bucket"], "inner", "doc_id").where(F.col("doc_id") > F.col("lead")).select(*opened.columns)
+        lead = cut(after.groupBy("bucket").agg(F.min(F.struct("doc_id", "cluster")).alias("f")).select("bucket", F.col("f.doc_id").alias("lead"), F.col("f.cluster").alias("lead_cluster")))
+        met = salted(after, lead, ["bucket"], "inner", "doc_id").where((F.col("doc_id") > F.col("lead")) & (F.col("cluster") != F.col("lead_cluster")))
+        new = cut(similar(met.select(F.col("lead").alias("u"), F.col("doc_id").alias("v")), docs, least))
+        last = lead.select("bucket", "lead")
+        if not new.isEmpty():
+            ties.append(new)
+            # Clusters joined by the new pairs; the names of clusters are their least documents so far.
+            named = opened.select(F.col("doc_id"), "cluster").distinct()
+            ends = new.join(named.withColumnsRenamed({"doc_id": "u", "cluster": "cu"}), "u").join(named.withColumnsRenamed({"doc_id": "v", "cluster": "cv"}), "v")
+            moved = components(ends.select(F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v")).where("u <> v").distinct()).withColumnsRenamed({"doc_id": "cluster", "cluster_id": "to"})
+            opened = opened.join(small(moved), "cluster", "left").select("bucket", "doc_id", F.coalesce("to", "cluster").alias("cluster"))
+        still = opened.groupBy("bucket").agg(F.min("cluster").alias("a"), F.max("cluster").alias("b"), F.max("doc_id").alias("end")).where("a <> b").join(last, "bucket").where(F.col("lead") < F.col("end")).select("bucket")
+        opened = cut(salted(opened, still, ["bucket"], "left_semi", "doc_id").select("bucket", "doc_id", "cluster"))
+    return components(reduce(DataFrame.unionByName, ties).distinct())
 
 
 #: A vertex with this share of all edge ends is met by broadcast; there are at most 1 / HOT_SHARE of them.
@@ -156,9 +234,13 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("u", F.col("next").alias("label"))
 
 
-def clusters(docs: DataFrame, portable: bool = False) -> DataFrame:
-    """(doc_id, cluster_id, cluster_size) of every document; a document alone is its own cluster."""
-    found = components(edges(cut(sketches(docs, portable))))
+def clusters(docs: DataFrame, portable: bool = False, least: float | None = SIMILARITY) -> DataFrame:
+    """(doc_id, cluster_id, cluster_size) of every document; a document alone is its own cluster.
+
+    With `least` as None every collision of a band ties two documents, whatever their similarity.
+    """
+    sketched = cut(sketches(docs, portable))
+    found = components(edges(sketched)) if least is None else verified(docs, sketched, least)
     sizes = found.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("cluster_size"))
     return docs.select("doc_id").join(found.join(sizes, "cluster_id"), "doc_id", "left").select("doc_id", F.coalesce("cluster_id", "doc_id").alias("cluster_id"), F.coalesce("cluster_size", F.lit(1)).cast("bigint").alias("cluster_size"))
 

@@ -83,7 +83,7 @@ def _banded(s: SparkSession, d: str) -> DataFrame:
 
 def _kept(s: SparkSession, d: str) -> DataFrame:
     own = docs(s, d)
-    return minhash.keep_one(own, minhash.clusters(own, portable=True))
+    return minhash.keep_one(own, minhash.clusters(own, portable=True, least=None))
 
 
 def _removed(s: SparkSession, d: str) -> DataFrame:
@@ -115,9 +115,10 @@ QUERIES: dict[str, Query] = {
     "minhash_signature": _signed,
     "minhash_bands": _banded,
     "minhash_pairs": lambda s, d: minhash.pairs(_banded(s, d)),
-    "minhash_clusters": lambda s, d: minhash.clusters(docs(s, d), portable=True),
+    "minhash_clusters": lambda s, d: minhash.clusters(docs(s, d), portable=True, least=None),
     "minhash_dedup": _kept,
     "minhash_removed": _removed,
+    "minhash_similar": lambda s, d: minhash.clusters(docs(s, d), portable=True),
     "pipeline_reasons": lambda s, d: pipeline.reasons(docs(s, d)),
     "pipeline_reasons_no_ngrams": lambda s, d: pipeline.reasons(docs(s, d), LISTS, n_grams=False),
     "pipeline_stage1": lambda s, d: pipeline.stage_one(docs(s, d)).select("doc_id", "text"),
@@ -226,7 +227,12 @@ h as materialized (select doc_id, ('0x' || md5(g)[1:7])::bigint as h from (selec
 sig as materialized (select doc_id, [{', '.join(f'min(({a} * h + {b}) % {minhash.PRIME})' for a, b in _AB)}] as signature from h group by doc_id)"""
 BANDS = f"{SIG}, band as materialized (select doc_id, k::int as band, md5(array_to_string(signature[k*8+1:k*8+8], ',')) as bucket from (select doc_id, signature, unnest(range(0, 14)) as k from sig))"
 PAIRS = f"{BANDS}, pair as materialized (select distinct u, doc_id as v from band join (select band, bucket, min(doc_id) as u from band group by all having count(*) > 1) using (band, bucket) where doc_id > u)"
-CLUSTERS = f"{PAIRS}, edge as (select u, v from pair union select v, u from pair), reach(doc_id, other) as (select u, u from edge union select r.doc_id, e.v from reach r join edge e on r.other = e.u), comp as materialized (select doc_id, min(other) as cluster_id from reach group by doc_id), clus as materialized (select d.doc_id, coalesce(c.cluster_id, d.doc_id) as cluster_id, count(*) over (partition by coalesce(c.cluster_id, d.doc_id)) as cluster_size from documents d left join comp c on d.doc_id = c.doc_id)"
+_COMPONENTS = ", edge as (select u, v from pair union select v, u from pair), reach(doc_id, other) as (select u, u from edge union select r.doc_id, e.v from reach r join edge e on r.other = e.u), comp as materialized (select doc_id, min(other) as cluster_id from reach group by doc_id), clus as materialized (select d.doc_id, coalesce(c.cluster_id, d.doc_id) as cluster_id, count(*) over (partition by coalesce(c.cluster_id, d.doc_id)) as cluster_size from documents d left join comp c on d.doc_id = c.doc_id)"
+CLUSTERS = PAIRS + _COMPONENTS
+#: All pairs of a bucket, with the shingles they share counted one by one.
+SIMILAR = f"""{BANDS}, cand as (select distinct a.doc_id as u, b.doc_id as v from band a join band b on a.band = b.band and a.bucket = b.bucket and a.doc_id < b.doc_id),
+sh as materialized (select distinct doc_id, array_to_string(w[i:i+4], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from w where len(w) >= 5)), size as (select doc_id, count(*) as n from sh group by doc_id),
+met as (select u, v, count(*) as n from cand join sh a on a.doc_id = u join sh b on b.doc_id = v and a.g = b.g group by u, v), pair as materialized (select u, v from met join size a on a.doc_id = u join size b on b.doc_id = v where met.n * 10 >= 8 * (a.n + b.n - met.n)){_COMPONENTS}"""
 KEPT = "select doc_id, cluster_id, cluster_size from (select doc_id, cluster_id, cluster_size, row_number() over (partition by cluster_id order by warc_filename, warc_record_offset, doc_id) as k from clus c join documents d using (doc_id)) where k = 1"
 
 _TAGS = ["script", "style", "head", "nav", "footer", "aside", "form", "noscript"]
@@ -285,6 +291,7 @@ SQL: dict[str, str] = {
     "minhash_bands": f"with {BANDS} select * from band",
     "minhash_pairs": f"with {PAIRS} select * from pair",
     "minhash_clusters": f"with recursive {CLUSTERS} select * from clus",
+    "minhash_similar": f"with recursive {SIMILAR} select * from clus",
     "minhash_dedup": f"with recursive {CLUSTERS} {KEPT}",
     "minhash_removed": f"with recursive {CLUSTERS} select doc_id from documents where doc_id not in (select doc_id from ({KEPT}))",
     "pipeline_reasons_no_ngrams": f"{LANG}, r as ({REASON}), v as (select doc_id, {VERDICT} as verdict from documents) select doc_id, case when verdict is not null then 'url_' || verdict when not (language = 'ell' and language_score >= {GREEK.language_score}) then 'language' else reason end as reason from v join lang using (doc_id) join r using (doc_id)",
