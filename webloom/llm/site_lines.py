@@ -24,14 +24,16 @@ MIN_SHARE = 0.0
 
 
 def _accents() -> tuple[str, str]:
-    """Accented small letters of the Latin, Greek (polytonic too) and Cyrillic blocks and their base letters, by decomposition."""
+    """Accented small letters of the Latin, Greek (polytonic too) and Cyrillic blocks and their base letters, by
+    decomposition, and after them the combining marks of these scripts, which have no counterpart and so are dropped."""
     pairs = [("ς", "σ")]
     for lo, hi in ((0xC0, 0x250), (0x370, 0x530), (0x1E00, 0x2000)):
         for c in map(chr, range(lo, hi)):
             base = "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn")
             if c == c.lower() and len(base) == 1 and base != c:
                 pairs.append((c, base))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+    marks = "".join(map(chr, [*range(0x300, 0x370), *range(0x483, 0x488)]))
+    return "".join(a for a, _ in pairs) + marks, "".join(b for _, b in pairs)
 
 
 ACCENTED, BASE = _accents()
@@ -39,7 +41,7 @@ ACCENTED, BASE = _accents()
 
 def normal_line(line: Column) -> Column:
     """A line without case, accents (also as combining marks), amount and kind of white space and the digits of its numbers."""
-    plain = F.regexp_replace(F.translate(F.lower(line), ACCENTED, BASE), "\\p{Mn}+", "")
+    plain = F.translate(F.lower(line), ACCENTED, BASE)
     return F.trim(F.regexp_replace(F.regexp_replace(plain, "(?U)\\s+", " "), "\\p{Nd}+", "0"))
 
 
