@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import batched
 from typing import Any
 
 import pyarrow as pa
@@ -35,6 +36,26 @@ def map_rows(df: DataFrame, columns: list[str], schema: str | T.StructType, make
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def fold_tasks(df: DataFrame, columns: list[str], schema: str | T.StructType, make: Callable[[], tuple[Callable[..., bool], Callable[[], Iterable[tuple]]]], each: int = 512) -> DataFrame:
+    """Sums over the rows of a task: `make()` gives `add(*column_lists)`, called on at most `each` rows at a time, and
+    `drain()`, which gives what was summed as tuples and starts afresh.
+
+    It is drained at the end of the task, and before that whenever `add` says that enough is held.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        add, drain = make()
+        for big in batches:
+            for at in range(0, big.num_rows, each):
+                if add(*(c.to_pylist() for c in big.slice(at, each).columns)):
+                    yield from (to_batch(list(x), arrow) for x in batched(drain(), 8192))
+        yield from (to_batch(list(x), arrow) for x in batched(drain(), 8192))
+
+    return df.select(*columns).mapInArrow(run, schema)
+
+
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True))
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
