@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.functions.joins import salted
-from webloom.llm.common import documents, fold, map_rows, table
+from webloom.llm.common import documents, fold, fold_line, map_rows, table
 from webloom.llm.mojibake import invert
 from webloom.session import SMALL_ROWS, cut
 
@@ -47,11 +47,15 @@ _SENTENCE = re.compile(r"[.!?;…][\s»\"')]|[.!?;…»]$")
 _TIME = re.compile(r" \d{1,2}[:.]\d\d$")
 _LATIN1 = re.compile("[\xc0-\xff]")
 _HIGH_PAIR = re.compile("[ÎÏÃÂΞΟâ][^\\sa-zA-Zα-ωΑ-Ω]|[\x80-\x9f]")
+#: What every line has that can be repaired.
+_ODD = re.compile("[\x80-\x9f\xc0-\xffâΞΟ]|[а-я][ЬЭЮЯ]|[ЬЭЮЯ][а-я]")
 _CYRILLIC_ODD = re.compile("[а-я][ЬЭЮЯ]|[ЬЭЮЯ][а-я]")
 
 
 def quick_repair(line: str) -> str:
     """The line with a wrong decoding undone where its structure alone shows it; for comparing lines only."""
+    if not _ODD.search(line):
+        return line
     for _ in range(2):
         if not _HIGH_PAIR.search(line):
             break
@@ -69,7 +73,7 @@ def quick_repair(line: str) -> str:
 
 def normal(line: str, site: str) -> str:
     """A line as a template sees it: folded, numbers, the site's name and foreign names masked."""
-    f = _DIGITS.sub("0", " ".join(fold(line).split()))
+    f = _DIGITS.sub("0", fold_line(line))
     if len(site) > 3:
         f = f.replace(site, "#")
     if _GREEK.search(f):
@@ -80,7 +84,9 @@ def normal(line: str, site: str) -> str:
 def head(line: str, f: str, s: int) -> int | None:
     """Hash of the part of a line that recurs while the rest changes: the first entry of a menu, what stands before the
     first separator, or the opening words of a notice of one or two sentences."""
-    parts = _MENU.split(line.strip())
+    shown = line.strip()
+    # Without these signs, and with single spaces only, there is no menu.
+    parts = _MENU.split(shown) if any(map(shown.__contains__, "|/·»>\t-")) or shown.count(" ") != f.count(" ") else ()
     if len(parts) >= 4 and all(x and x.count(" ") <= 2 for x in parts):
         return _hash("m", fold(parts[0])) | 1
     m = _SEPARATOR.search(f)

@@ -6,10 +6,10 @@ import unicodedata
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.functions.arrow import map_rows
+from webloom.functions.arrow import fold_tasks, map_rows
 from webloom.sources.tables import table
 
-__all__ = ["LINES", "WORDS", "documents", "fold", "map_rows", "table", "words"]
+__all__ = ["LINES", "WORDS", "documents", "fold", "fold_line", "fold_tasks", "map_rows", "plain_words", "table", "words"]
 
 
 class _Fold(dict):
@@ -36,9 +36,35 @@ class _Fold(dict):
 WORDS, LINES = _Fold(False), _Fold(True)
 
 
+class _Known(dict):
+    """Word -> folded word, as most words of a text have been met before; bounded, and without very long ones."""
+
+    MOST, LONGEST = 1 << 17, 64
+
+    def __init__(self, table: _Fold) -> None:
+        super().__init__()
+        self.table = table
+
+    def __missing__(self, word: str) -> str:
+        out = word.translate(self.table)
+        if len(word) <= self.LONGEST:
+            if len(self) >= self.MOST:
+                self.clear()
+            self[word] = out
+        return out
+
+
+_WORD, _LINE = _Known(WORDS), _Known(LINES)
+
+
+def plain_words(pieces: list[str]) -> list[str]:
+    """Pieces of a text between white space, reduced to letters and digits, without case, accents and final sigma; none of others."""
+    return [x for x in map(_WORD.__getitem__, pieces) if x]
+
+
 def words(text: str | None) -> list[str]:
-    """Words between white space, reduced to letters and digits, without case, accents and final sigma."""
-    return text.translate(WORDS).split() if text else []
+    """The words of a text: what stands between white space, as `plain_words` gives it."""
+    return plain_words(text.split()) if text else []
 
 
 def fold(text: str) -> str:
@@ -46,5 +72,10 @@ def fold(text: str) -> str:
     return text.translate(LINES)
 
 
+def fold_line(line: str) -> str:
+    """A line folded, with single spaces and none at its ends."""
+    return " ".join([x for x in map(_LINE.__getitem__, line.split()) if x])
+
+
 def documents(spark: SparkSession, directory: str) -> DataFrame:
     return table(spark, directory, "documents", spread=True)
