@@ -116,7 +116,7 @@ def test_no_gate_of_a_detector_loses_what_it_finds(monkeypatch):
     lines = [r.choice(["", " "]).join(r.choice(PIECES) + r.choice(["", " ", " ", " "]) for _ in range(r.randrange(1, 14))) for _ in range(4000)]
     gated = [pii.detect(x) for x in lines]
     anything = __import__("re").compile("")
-    for gate in ("_HAS_DIGITS", "_PLACE", "_CAPITALS"):
+    for gate in ("_HAS_DIGITS", "_PLACE", "_CAPITALS", "_DIGIT"):
         monkeypatch.setattr(pii, gate, anything)
     assert [pii.detect(x) for x in lines] == gated
     assert {t for x in gated for _, _, t in x} == set(pii.TYPES)
@@ -316,6 +316,20 @@ def test_reading(spark):
     assert got[2] > got[1] and got[3] is None and got[4] is None and len(got) == 11
 
 
+def test_marks_are_held_out(spark):
+    r = random.Random(3)
+    rows = [(i, 9, 1, r.random(), 2.0 ** r.uniform(1, 5)) for i in range(200)]
+    measured = spark.createDataFrame(rows, reading.FIGURES)
+    import math
+
+    marks = [(i, "a", 3, round(1 + 4 * u + 2 * math.log(w))) for i, _, _, u, w in rows]
+    labels = spark.createDataFrame([*marks, (0, "b", 3, None), (999, "b", 3, 4)], "doc_id bigint, rater string, quality int, reading_grade int")
+    got = reading.held_out(measured, labels).first()
+    assert got.n_marks == 200 and got.correlation > 0.97 and got.mean_error < 0.5
+    none = reading.held_out(measured, labels.where("false")).first()
+    assert (none.n_marks, none.correlation) == (0, None)
+
+
 def test_quality_labels(spark):
     rows = [f"στοιχείο {i};{i * 7};{i},50;ΝΑΙ" for i in range(12)]
     prose = "Το παιδί παίζει στην αυλή και η γάτα κοιμάται στο σπίτι. Ο καιρός είναι καλός."

@@ -57,6 +57,8 @@ _SIGN = re.compile(r"@|παπακι|papaki|[\[({<]\s*at\s*[\])}>]| at [a-z0-9.-]
 _MIXED = re.compile(r"[a-z0-9._+@-]*(?:[a-z][α-ωа-я]|[α-ωа-я][a-z]|[α-ω][а-я]|[а-я][α-ω])[a-z0-9α-ωа-я._+@-]*")
 _MARKS = re.compile("[\u0300-\u036f]+")
 _OH = re.compile(r"(?<![^\W_])(?=[\doο .()-]*\d[oο]|[\doο .()-]*[oο]\d)[+(\doο](?:[\doο .()-]{5,}[\doο])(?![^\W_])")
+_DIGIT = re.compile(r"\d")
+_CYRILLIC = re.compile("[а-яѐ-џ]")
 _GREEK_LETTER = re.compile("[α-ω]")
 _LATIN_LETTER = re.compile("[a-z]")
 
@@ -127,7 +129,8 @@ def letters(once: str) -> Normal:
     n = Normal(once)
     if _MARKS.search(n.text):
         n.rewrite(_MARKS, lambda m: iter(()))
-    if _MIXED.search(n.text):
+    # Most lines have one script only.
+    if (_LATIN_LETTER.search(n.text) or _CYRILLIC.search(n.text)) and _MIXED.search(n.text):
         n.rewrite(_MIXED, _one_script)
     return n
 
@@ -136,7 +139,7 @@ def disguises(n: Normal) -> Normal:
     """A copy of a line after the transducers for zeros, spelled digits and at/dot."""
     out = Normal(n.text)
     out.starts, out.ends = n.starts, n.ends
-    if _OH.search(out.text):
+    if _DIGIT.search(out.text) and _OH.search(out.text):
         out.rewrite(_OH, lambda m: _same(m[0].translate({ord("o"): "0", ord("ο"): "0"})))
     if _SPELLED.search(out.text):
         out.rewrite(_SPELLED, _digits_of)
@@ -164,7 +167,7 @@ CITIES = ("αθηνα", "θεσσαλονικη", "πατρα", "πειραια
 _CITY = re.compile(rf"(?<![\w.])([α-ω]{{4,}}(?: [α-ω]{{4,}})?) (\d{{1,3}})\s?[α-ω]?, (?:{'|'.join(CITIES)})(?!\w)")
 _ENGLISH_STREET = re.compile(r"\b\d{1,4}[a-z]? (?:[a-z]+ ){1,3}(?:street|avenue|road|lane|boulevard|square)\b")
 
-#: What every address has: a street word, a postal code, or an English street word.
+#: What every address has beside a digit: a street word, a postal code, or an English street word.
 _PLACE = re.compile(r"(?<![a-zα-ω])(?:οδ[οό][σύυ]?|οδου|λεωφ|πλατεια|πλ\.|λ\.|odos|leof)[^\d]{0,60}\d|\d[\s\S]{0,40}?\b\d{3} ?\d{2}(?!\d)|[α-ω] \d{1,3} ?[α-ω]?, [α-ω]|(?:street|avenue|road|lane|boulevard|square)\b")
 
 _UPPER = "A-ZΑ-ΩΆΈΉΊΌΎΏΪΫÀ-ÖØ-ÞА-Я"
@@ -213,7 +216,6 @@ _CAPITALS = re.compile(rf"[{_UPPER}](?:\.|[^\W\d_]+\.?)[ \xa0]?[{_UPPER}]")
 #: Folded endings of Greek family names that other words have as well; they count after a known given name only.
 _GREEK_FAMILY = re.compile("(?:[α-ω]{3})(?:ησ|η|ασ|α|οσ|ου|ο|ωφ|εζ|ελου)$")
 _NOT_GREEK = re.compile(r"[^\W\d_α-ω]{3,}$")
-_CYRILLIC = re.compile("[а-яѐ-џ]")
 #: English words that open sentences before a family name.
 ENGLISH_OPENERS = frozenset("the and but for with from when where why how dear hello street mr mrs ms dr sir of in at on to by".split())
 _LETTER = re.compile(r"[^\W\d_]")
@@ -303,7 +305,7 @@ def detect(line: str, lower: str | None = None) -> list[tuple[int, int, str]]:
         for a, b in _phones(n):
             add(*n.span(a, b), "phone")
     text = base.text
-    places = bool(_PLACE.search(text))
+    places = _DIGIT.search(text) is not None and _PLACE.search(text) is not None
     shown = base.cased(line)
     if not places and not _CAPITALS.search(shown):
         return sorted(out)
