@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.llm import boilerplate
-from webloom.llm.common import WORDS, documents, map_rows, table
+from webloom.llm.common import documents, fold_tasks, map_rows, plain_words, table
 from webloom.session import cut
 
 STATES = ("prose", "list", "table", "junk")
@@ -69,31 +69,35 @@ STAY = 0.9
 
 def line_features(line: str) -> tuple[int, int, int]:
     """(symbol, words, letters and digits): the features of a line as bits, and its words between white space."""
-    n = len(line.split())
+    pieces = line.split()
+    n = len(pieces)
     if not n:
         return 0, 0, 0
-    folded = line.translate(WORDS)
-    plain = folded.split()
+    plain = plain_words(pieces)
+    size = sum(map(len, plain))
     common = sum(map(COMMON.__contains__, plain))
     digits = len(_DIGIT_TOKEN.findall(line)) if _DIGIT.search(line) else 0
     bare = n - len(plain)  # tokens without a letter or digit
     odd = max(bare - len(_DASH.findall(line)), 0) if bare else 0
-    if len(folded) > 14 * len(plain):
+    if size + n > 14 * len(plain):
         odd += sum(len(w) > 25 for w in plain)
     if _ASCII.search(line) and _MIXED.search(line):
         odd += len(_MIXED_TOKEN.findall(line))
-    code = len(_CODE.findall(line))
+    shown = line.strip()
+    # Single spaces alone stand between words: then only these signs can be delimiters.
+    spaced = shown.count(" ") + 1 == n
+    marks = any(map(line.__contains__, "\t|;"))
     bits = (
         common * 8 >= n and common > 0,
-        bool(_END.search(line.rstrip())) and (len(plain) - digits) * 2 > n,
+        bool(_END.search(shown)) and (len(plain) - digits) * 2 > n,
         digits * 4 >= n,
-        odd * 5 >= n or code >= 3,
-        (len(_DELIMITERS.findall(line.strip())) * 4 >= n and n > 1 and not common * 5 >= n) or "...." in line or "____" in line or "……" in line,
+        odd * 5 >= n or (any(map(line.__contains__, "{}<>=)/")) and len(_CODE.findall(line)) >= 3),
+        ((marks or not spaced) and n > 1 and not common * 5 >= n and len(_DELIMITERS.findall(shown)) * 4 >= n) or "...." in line or "____" in line or "……" in line,
         bool(_MARKER.match(line)),
-        n >= 6 and len(_GLUE.findall(line)) * 5 >= n and not common * 5 >= n,
+        n >= 6 and not common * 5 >= n and len(_GLUE.findall(line)) * 5 >= n,
         n >= 9,
     )
-    return sum(1 << i for i, b in enumerate(bits) if b), n, len(folded) - folded.count(" ")
+    return sum(1 << i for i, b in enumerate(bits) if b), n, size
 
 
 class Model:
@@ -218,17 +222,20 @@ def fitted(found: DataFrame, iterations: int = ITERATIONS) -> Model:
     for _ in range(iterations):
         held = sc.broadcast(model)
 
-        def make(held: Any = held) -> Callable[..., Iterator[tuple[Any, ...]]]:
-            own = held.value
+        def make(held: Any = held) -> tuple[Callable[..., bool], Callable[[], Iterator[tuple[int, float]]]]:
+            own, sums = held.value, np.zeros(size)
 
-            def f(sequences: list[list[int]]) -> Iterator[tuple[Any, ...]]:
-                counts = own.expected(sequences)
-                at = np.flatnonzero(counts)
-                yield from zip(at.tolist(), counts[at].tolist(), strict=True)
+            def add(sequences: list[list[int]]) -> bool:
+                sums[:] += own.expected(sequences)
+                return False
 
-            return f
+            def drain() -> Iterator[tuple[int, float]]:
+                at = np.flatnonzero(sums)
+                yield from zip(at.tolist(), sums[at].tolist(), strict=True)
 
-        sums = map_rows(found.where(F.size("symbols") > 0), ["symbols"], "cell int, n double", make, each=4096).groupBy("cell").agg(F.sum("n").alias("n")).collect()
+            return add, drain
+
+        sums = fold_tasks(found.where(F.size("symbols") > 0), ["symbols"], "cell int, n double", make, each=2048).groupBy("cell").agg(F.sum("n").alias("n")).collect()
         counts = np.zeros(size)
         for r in sums:
             counts[r["cell"]] = r["n"]
