@@ -19,9 +19,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm.common import documents, map_rows
+from webloom.llm.common import documents, fold_tasks, map_rows
 
 CLASSES = 2048
+PAIRS = CLASSES * CLASSES
+#: Pairs that a task holds before it sums them up, and sums that it holds before it gives them out.
+EVENTS = 4_000_000
 #: A pair whose contribution to mutual information (p times PMI, nats) is below this is improbable.
 THRESHOLD = 2e-4
 #: Pairs below this share of all (document, pair) events need not be known; so at most 1 / LEAST pairs reach the driver.
@@ -48,29 +51,47 @@ def classes(text: str) -> np.ndarray:
 def pair_counts(docs: DataFrame) -> DataFrame:
     """(part, pair, n): documents in which each pair of neighbouring characters stands, by group of sites (part below GROUPS) and of sources.
 
-    Counted in tasks, then summed; a task gives at most two rows a group and pair.
+    Counted in tasks, then summed; a task gives one row a group and pair, unless it holds more than EVENTS of them.
     """
     groups = [F.pmod(F.xxhash64(c), F.lit(GROUPS)).cast("int").alias(f"by_{c}") for c in ("url_host_registered_domain", "source")]
 
-    def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
-        def f(texts: list[str | None], sites: list[int], sources: list[int]) -> Iterator[tuple[Any, ...]]:
-            totals: dict[int, np.ndarray] = {}
+    def make() -> tuple[Callable[..., bool], Callable[[], Iterator[tuple[int, int, int]]]]:
+        waiting: list[np.ndarray] = []  # keys, one an event
+        summed: list[tuple[np.ndarray, np.ndarray]] = []  # keys in order, counts
+        held = 0
+
+        def settle() -> None:
+            nonlocal held
+            keys = np.concatenate([*waiting, *[k for k, _ in summed]])
+            n = np.concatenate([np.ones(sum(map(len, waiting)), np.int64), *[n for _, n in summed]])
+            keys, at = np.unique(keys, return_inverse=True)
+            summed[:] = [(keys, np.bincount(at, n, len(keys)).astype(np.int64))]
+            waiting.clear()
+            held = 0
+
+        def add(texts: list[str | None], sites: list[int], sources: list[int]) -> bool:
+            nonlocal held
             for text, site, source in zip(texts, sites, sources, strict=True):
                 if text and len(text) > 1:
                     c = classes(text)
-                    at = np.unique(c[:-1] * CLASSES + c[1:])
-                    for part in (site, GROUPS + source):
-                        if part not in totals:
-                            totals[part] = np.zeros(CLASSES * CLASSES, np.int32)
-                        totals[part][at] += 1
-            for part, total in totals.items():
-                at = np.flatnonzero(total)
-                yield from zip([part] * len(at), at.tolist(), total[at].tolist(), strict=True)
-
-        return f
+                    at = np.unique(c[:-1] * CLASSES + c[1:]).astype(np.int64)
+                    waiting.extend((at + site * PAIRS, at + (GROUPS + source) * PAIRS))
+                    held += 2 * len(at)
+            if held > EVENTS:
+                settle()
+            return bool(summed) and len(summed[0][0]) > EVENTS
+
+        def drain() -> Iterator[tuple[int, int, int]]:
+            if waiting:
+                settle()
+            for keys, n in summed:
+                yield from zip((keys // PAIRS).tolist(), (keys % PAIRS).tolist(), n.tolist(), strict=True)
+            summed.clear()
+
+        return add, drain
 
     spread = docs.select("text", *groups)
-    return map_rows(spread, spread.columns, "part int, pair int, n bigint", make, each=20_000).groupBy("part", "pair").agg(F.sum("n").alias("n"))
+    return fold_tasks(spread, spread.columns, "part int, pair int, n bigint", make).groupBy("part", "pair").agg(F.sum("n").alias("n"))
 
 
 class Model:
