@@ -9,7 +9,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.operators import html
+from webloom.operators import html, url
 from webloom.operators.manifest import default_tasks, resume_row, with_row_index
 from webloom.plans import pipeline, publish
 from webloom.plans.profile import GREEK, Profile, load
@@ -18,22 +18,31 @@ from webloom.sources.files import Store
 from webloom.sources.records import backend, read_records
 
 
-def extracted(rows: DataFrame, crawl: str, records: str, profile: Profile = GREEK) -> DataFrame:
-    """Stage one of numbered manifest rows: each record is fetched once and its main text taken in that pass, then judged and formatted in the next, without a shuffle."""
-    pages = read_records(rows, crawl, backend(records), carry=("chunk",), extract=html.main_text)
+def extracted(rows: DataFrame, crawl: str, records: str, profile: Profile = GREEK, lists: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Stage one of numbered manifest rows: addresses are filtered first; each record left is fetched once and its main text
+    taken in that pass, then judged and formatted in the next, without a shuffle."""
+    allowed = url.banned(rows, lists, profile).where("ban is null").drop("ban")
+    pages = read_records(allowed, crawl, backend(records), carry=("chunk",), extract=html.main_text)
     return publish.staged(pipeline.stage_one(pages, profile), "chunk")
 
 
+def block_lists(spark: SparkSession, folder: str | None) -> dict[str, DataFrame]:
+    """Block lists of a folder: domain.txt, host.txt and url.txt, one entry a line, as far as they are there."""
+    store = Store(spark)
+    return {k: spark.read.text(f"{folder}/{k}.txt") for k in url.KEYS if folder and store.exists(f"{folder}/{k}.txt")}
+
+
 def run_chunks(spark: SparkSession, a: argparse.Namespace, rows: DataFrame, start: int, stage: str, publisher: publish.Publisher, profile: Profile) -> None:
     """Write the chunks that are not done yet, so many a job; a chunk is marked done, and published, when its job has ended."""
     store = Store(spark)
     chunks = [r[0] for r in rows.select("chunk").distinct().orderBy("chunk").collect()]  # one number a chunk
     done = {int(n[6:]) for n in store.names(stage) if n.startswith("_done_")}
     left = [c for c in chunks if c not in done]
+    lists = block_lists(spark, a.block_lists)
     for k in range(0, len(left), a.chunks_per_job):
         some = left[k : k + a.chunks_per_job]
         part = rows.where(F.col("row_idx").between(some[0], some[-1] + a.chunk_size - 1) & F.col("chunk").isin(some)).repartition(max(a.tasks, spark.sparkContext.defaultParallelism))
-        publish.write_chunks(extracted(part, a.crawl, a.records, profile), stage)
+        publish.write_chunks(extracted(part, a.crawl, a.records, profile, lists), stage)
         for c in some:
             folder = f"crawl={a.crawl}/chunk={c}"
             if publisher.target and store.exists(f"{stage}/{folder}"):
@@ -52,6 +61,7 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     p.add_argument("--records", required=True, help="folder, http(s) address or s3 bucket of record files")
     p.add_argument("--out-dir", default="extractions")
     p.add_argument("--settings", help="filter settings as YAML or JSON")
+    p.add_argument("--block-lists", help="folder with domain.txt, host.txt, url.txt of addresses that are not fetched")
     p.add_argument("--chunk-size", type=int, default=100_000)
     p.add_argument("--chunks-per-job", type=int, default=16)
     p.add_argument("--tasks", type=int, default=default_tasks(os.cpu_count() or 1))

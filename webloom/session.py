@@ -25,7 +25,7 @@ DEFAULTS = {
 #: Set where a session leaves them open: rows of an Arrow batch, as a row may be a long text.
 RUNTIME = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 #: Rows of a few numbers each that may be broadcast.
-SMALL_ROWS = 2_000_000
+SMALL_ROWS = 500_000
 
 
 def build(app: str = "webloom", master: str | None = None, **conf: str) -> SparkSession:
