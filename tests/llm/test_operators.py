@@ -450,3 +450,41 @@ def test_model_is_fitted_over_all_documents(spark):
     assert np.allclose(a.emit, b.emit) and np.allclose(a.move, b.move) and np.allclose(a.start, b.start)
     tenfold = quality.Model().fit(seqs * 10)
     assert np.allclose(tenfold.emit, b.emit)  # the same corpus ten times gives the same model
+
+
+NULLS = "doc_id bigint, text string, url string, url_host_registered_domain string, source string, warc_filename string, warc_record_offset bigint, lang string"
+
+
+def everything(spark, docs):
+    """Every operator over some documents, with side tables that hold nulls as well: name -> rows."""
+    pages = spark.createDataFrame([(1, "u1", "<p>x</p>"), (None, None, None), (2, "u2", None), (3, "u3", "")], "page_id bigint, url string, html string")
+    manifest = spark.createDataFrame([("ell", "f", 1), (None, None, None), ("", "f", 2), (None, "f", 3)], "content_languages string, warc_filename string, warc_record_offset bigint")
+    bench = spark.createDataFrame([(1, "a b c d e f g h i j k l m"), (None, "a b"), (2, None), (1, "a b c d e f g h i j k l m")], "item_id bigint, text string")
+    targets = spark.createDataFrame([("news", 0.5, 2), (None, 0.3, 1), ("x", None, 1), ("blog", 0.2, None)], "source string, target_share double, max_repeat int")
+    labels = spark.createDataFrame([(1, None, None, 3), (None, "a", 1, 2), (2, "a", None, None)], "doc_id bigint, rater string, quality int, reading_grade int")
+    network = language.Network()
+    sizes = mixing.token_counts(docs)
+    rate = mixing.rates(sizes, targets)
+    measured = reading.figures(docs, ["και"])
+    language.fitted(docs, manifest)
+    frames = {
+        "found": pii.found(docs), "redacted": pii.redacted(docs), "lines": language.labelled_lines(docs, network), "unlisted": language.unlisted(docs, manifest, network),
+        "measure": repetition.measure(docs), "few": repetition.measure(docs, every=False), "bands": repetition.bands(docs), "site": site_lines.found(docs), "report": site_lines.report(docs, min_share=0.1), "cleaned": site_lines.cleaned(docs),
+        "furniture": boilerplate.found(docs, pages), "body": boilerplate.body(docs, pages), "statistics": quality.statistics(docs, pages), "damaged": mojibake.damaged_lines(docs), "restored": mojibake.restored(docs),
+        "leaks": leakage.scan(docs, bench), "clean": leakage.decontaminated(docs, bench), "mix": mixing.mix(sizes, rate), "shares": mixing.shares(mixing.mix(sizes, rate), rate), "levels": reading.levels(docs, labels, 5), "fit": reading.held_out(measured, labels),
+    }
+    return {k: f.collect() for k, f in frames.items()}
+
+
+def test_nulls_in_any_column_empty_tables_and_repeated_rows(spark):
+    rows = [(1, "α β γ. a b c d e f g h i j k l m", "u1", "s", "news", "f", 1, "l"), (None, "κείμενο χωρίς αριθμό και με γραμμή\n" * 3, "u2", "s", "news", "f", 2, "l"), (2, None, None, None, None, None, None, None), (3, "γραμμή κειμένου που μένει", None, None, None, None, None, None), (4, "", "u3", "", "", "", 0, "")]
+    docs = spark.createDataFrame(rows, NULLS)
+    got = everything(spark, docs)
+    for per_document in ("redacted", "measure", "few", "bands", "cleaned", "body", "restored", "clean"):
+        assert len(got[per_document]) == 5, per_document
+    assert {(r.doc_id, r.item_id) for r in got["leaks"]} == {(1, 1)}
+    twice = everything(spark, docs.union(docs))
+    assert len(twice["redacted"]) == 10 and {tuple(r) for r in twice["leaks"]} == {tuple(r) for r in got["leaks"]}
+    none = everything(spark, docs.where("false"))
+    assert not any(none[k] for k in none if k not in ("shares", "fit"))
+    assert {r.mix_tokens for r in none["shares"]} == {0} and none["fit"][0].n_marks == 0
