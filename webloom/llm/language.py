@@ -91,18 +91,17 @@ class Network:
         d /= len(y)
         g["out"], g["bias"] = h.T @ d, d.sum(0)
         dh = d @ p["out"].T
-        de = np.zeros_like(e)
         rows = np.arange(len(y))[:, None]
+        g["emb"] = np.zeros_like(p["emb"])
         for j, (w, (cols, at, on)) in enumerate(zip(WIDTHS, kept, strict=True)):
             dt = dh[:, j * FILTERS : (j + 1) * FILTERS] * on
             picked = cols[rows, at]  # (batch, filter, width * embedding)
             g[f"w{w}"] = np.einsum("bfi,bf->if", picked, dt)
             g[f"b{w}"] = dt.sum(0)
             back = dt[:, :, None] * p[f"w{w}"].T[None]
+            # Only the bytes at the maxima have a part in the result.
             for k in range(w):
-                np.add.at(de, (rows, at + k), back[:, :, k * EMBEDDING : (k + 1) * EMBEDDING])
-        g["emb"] = np.zeros_like(p["emb"])
-        np.add.at(g["emb"], x.ravel(), de.reshape(-1, EMBEDDING))
+                np.add.at(g["emb"], x[rows, at + k], back[:, :, k * EMBEDDING : (k + 1) * EMBEDDING])
         return g
 
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> Network:
@@ -188,7 +187,7 @@ def labelled_windows(docs: DataFrame, manifest: DataFrame, size: int = SAMPLE_DO
     with the least hashes are taken. Never empty while any such document has a line with enough letters.
     """
     single = listed(manifest).where((F.size("codes") == 1) & F.col("codes")[0].isin(*LANGUAGES)).select("warc_filename", "warc_record_offset", F.col("codes")[0].alias("label"))
-    keys = docs.where("text is not null").select("doc_id", "warc_filename", "warc_record_offset").join(single, ["warc_filename", "warc_record_offset"])
+    keys = docs.where("text is not null and doc_id is not null").select("doc_id", "warc_filename", "warc_record_offset").join(single, ["warc_filename", "warc_record_offset"])
     chosen = keys.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(size).select("doc_id", "label")
     picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # `size` rows of two short columns
 
