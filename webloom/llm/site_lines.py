@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from webloom.functions.joins import salted
 from webloom.llm.common import documents
+from webloom.session import cut
 
 MIN_LETTERS = 10
 MIN_DOCUMENTS = 5
@@ -78,14 +79,14 @@ def frequent(docs: DataFrame, hashes: DataFrame, min_documents: int = MIN_DOCUME
 def found(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_letters: int = MIN_LETTERS, min_share: float = MIN_SHARE) -> DataFrame:
     """(doc_id, line_no) of each excessively repeated line."""
     h = line_hashes(docs, min_letters)
-    # Counting needs the site only where its size does.
-    bare = h if min_share > 0 else h.withColumn("url_host_registered_domain", F.lit(None).cast("string"))
-    return salted(h, frequent(docs, bare, min_documents, min_share).select("hash"), ["hash"], "left_semi", "doc_id").select("doc_id", "line_no")
+    # Counting needs the site only where its size does. Lines are normalised once: only numbers are written.
+    h = cut(h if min_share > 0 else h.withColumn("url_host_registered_domain", F.lit(None).cast("string")))
+    return salted(h.select("doc_id", "line_no", "hash"), frequent(docs, h, min_documents, min_share).select("hash"), ["hash"], "left_semi", "doc_id").select("doc_id", "line_no")
 
 
 def report(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_letters: int = MIN_LETTERS, min_share: float = MIN_SHARE) -> DataFrame:
     """The frequent lines of each site: site, one spelling (that of the least document and line), documents, lines, share of the site's documents."""
-    h = line_hashes(docs, min_letters)
+    h = cut(line_hashes(docs, min_letters))
     often = frequent(docs, h, min_documents, min_share)
     first = salted(h, often.select("hash"), ["hash"], "left_semi", "doc_id").groupBy("hash").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     spelled = first.select("hash", F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"))
