@@ -41,14 +41,15 @@ _SEPARATOR = re.compile(r" ?[:>»|/·–—-] ")
 _MENU = re.compile(r"\s+[|/·»>-]\s+|\s{2,}|\t")
 _NAMED = re.compile(r"[^\W\d_]|#")
 _DIGITS = re.compile(r"\d+")
+_LATIN_LETTER = re.compile("[a-z]")
 _LATIN = re.compile(r"[a-z0]*[a-z]{4}[a-z0]*")
 _GREEK = re.compile("[α-ω]")
 _SENTENCE = re.compile(r"[.!?;…][\s»\"')]|[.!?;…»]$")
 _TIME = re.compile(r" \d{1,2}[:.]\d\d$")
 _LATIN1 = re.compile("[\xc0-\xff]")
 _HIGH_PAIR = re.compile("[ÎÏÃÂΞΟâ][^\\sa-zA-Zα-ωΑ-Ω]|[\x80-\x9f]")
-#: What every line has that can be repaired.
-_ODD = re.compile("[\x80-\x9f\xc0-\xffâΞΟ]|[а-я][ЬЭЮЯ]|[ЬЭЮЯ][а-я]")
+#: A character that every line has that can be repaired.
+_ODD = re.compile("[\x80-\x9f\xc0-\xffâΞΟЬЭЮЯ]")
 _CYRILLIC_ODD = re.compile("[а-я][ЬЭЮЯ]|[ЬЭЮЯ][а-я]")
 
 
@@ -76,7 +77,7 @@ def normal(line: str, site: str) -> str:
     f = _DIGITS.sub("0", fold_line(line))
     if len(site) > 3:
         f = f.replace(site, "#")
-    if _GREEK.search(f):
+    if _LATIN_LETTER.search(f) and _GREEK.search(f):
         f = _LATIN.sub("#", f)
     return f
 
