@@ -42,8 +42,10 @@ COMMON = frozenset(
 _MARKER = re.compile(r"^\s*(?:[-–—•·*→☐▪◦>+]|\(?\d{1,3}[.)]\)?|[A-Za-zα-ω][.)])\s+")
 _DELIMITERS = re.compile(r"[\t|;]|\s{2,}")
 _CODE = re.compile(r"[{}<>=]|\);|\(\)|://")
+_LAST = ".!?;…»\"')]"
 _END = re.compile(r"[.!?;…][»\"')\]]*$")
-_GLUE = re.compile(r"[,#/|·]|\s-\s")
+_GLUE = ",#/|·"
+_SPACED_DASH = re.compile(r"\s-\s")
 _MIXED = re.compile(r"[a-zα-ωά-ώ][A-ZΑ-Ω]|[A-Za-z]\d|\d[A-Za-z]")
 
 _DIGIT = re.compile(r"\d")
@@ -89,12 +91,12 @@ def line_features(line: str) -> tuple[int, int, int]:
     marks = any(map(line.__contains__, "\t|;"))
     bits = (
         common * 8 >= n and common > 0,
-        bool(_END.search(shown)) and (len(plain) - digits) * 2 > n,
+        shown[-1] in _LAST and bool(_END.search(shown)) and (len(plain) - digits) * 2 > n,
         digits * 4 >= n,
         odd * 5 >= n or (any(map(line.__contains__, "{}<>=)/")) and len(_CODE.findall(line)) >= 3),
         ((marks or not spaced) and n > 1 and not common * 5 >= n and len(_DELIMITERS.findall(shown)) * 4 >= n) or "...." in line or "____" in line or "……" in line,
         bool(_MARKER.match(line)),
-        n >= 6 and not common * 5 >= n and len(_GLUE.findall(line)) * 5 >= n,
+        n >= 6 and not common * 5 >= n and (sum(map(line.count, _GLUE)) + (len(_SPACED_DASH.findall(line)) if "-" in line else 0)) * 5 >= n,
         n >= 9,
     )
     return sum(1 << i for i, b in enumerate(bits) if b), n, size
