@@ -204,8 +204,8 @@ def verified(docs: DataFrame, sketched: DataFrame, least: float = SIMILARITY) ->
     return components(reduce(DataFrame.unionByName, ties).distinct())
 
 
-#: A vertex with this share of all edge ends is met by broadcast; there are at most 1 / HOT_SHARE of them.
-HOT_SHARE = 1e-4
+#: A vertex with this share of all edge ends, and this many, is met by broadcast; there are at most 1 / HOT_SHARE of them.
+HOT_SHARE, HOT_EDGES = 1e-4, 1000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -216,14 +216,17 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours of a vertex with many edges are met by broadcasting its label, not in one task.
     """
     both = cut(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    hot = cut(both.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(1000.0, HOT_SHARE * both.count())).select("v"))
-    busy, rest = (both.join(F.broadcast(hot), "v", how) for how in ("left_semi", "left_anti"))
-    any_hot = not hot.isEmpty()
+    ends = both.count()
+    rest, busy = both, None
+    if ends >= HOT_EDGES:
+        hot = cut(both.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(HOT_EDGES, HOT_SHARE * ends)).select("v"))
+        if not hot.isEmpty():
+            busy, rest = (both.join(F.broadcast(hot), "v", how) for how in ("left_semi", "left_anti"))
     labels = cut(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label")))
     while True:
         by_v = labels.withColumnRenamed("u", "v")
         met = rest.join(by_v, "v").select("u", "label")
-        if any_hot:
+        if busy is not None:
             met = met.unionByName(busy.join(F.broadcast(by_v.join(F.broadcast(hot), "v", "left_semi")), "v").select("u", "label"))
         near = met.groupBy("u").agg(F.min("label").alias("near"))
         step = labels.join(near, "u").select("u", "label", F.least("label", "near").alias("next"))
