@@ -17,10 +17,12 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import Any
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from webloom.llm.common import documents, map_rows, table
+from webloom.llm.common import documents, fold_tasks, map_rows, table
 from webloom.session import cut
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -93,16 +95,50 @@ def mix(sizes: DataFrame, rate: DataFrame, seed: int = SEED, rows_per_bucket: in
         crossed = F.floor(F.col("k") * F.col("rate") + offset) - F.floor((F.col("k") - 1) * F.col("rate") + offset)
         return F.least(crossed, F.col("max_repeat").cast("bigint"))
 
-    tried = [(F.pmod(F.xxhash64("source", F.lit(seed), F.lit(c)), F.lit(1 << 30)) / F.lit(float(1 << 30))) for c in range(OFFSETS)]
-    want = F.sum(F.col("rate") * F.col("n_tokens"))
-    # A row a target source, of which there are few.
-    errors = own.groupBy("source").agg(*[F.abs(F.sum(copies(o) * F.col("n_tokens")) - want).alias(f"_{c}") for c, o in enumerate(tried)])
-    least = F.array_min(F.array(*[F.struct(F.col(f"_{c}").alias("error"), o.alias("offset")) for c, o in enumerate(tried)]))
-    best = errors.select("source", least["offset"].alias("offset"))
+    best = own.sparkSession.createDataFrame(list(nearest_offsets(own, seed).items()), "source string, offset double")
     chosen = own.join(F.broadcast(best), "source").withColumn("copies", copies(F.col("offset"))).where("copies > 0")
     return chosen.select("doc_id", "source", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy_no"), "n_tokens")
 
 
+def offsets_of(source: str, seed: int) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(f"{c} {source}", seed) / 2.0**64 for c in range(OFFSETS)])
+
+
+def nearest_offsets(placed: DataFrame, seed: int) -> dict[str, float]:
+    """Of OFFSETS random offsets of each source the one whose copies' tokens come nearest to the source's part of the mix.
+
+    Tasks sum the tokens of each source and offset; a number for each reaches the driver.
+    """
+
+    def make() -> tuple[Callable[..., bool], Callable[[], Iterator[tuple[str, int, float]]]]:
+        sums: dict[str, np.ndarray] = {}
+        tried: dict[str, np.ndarray] = {}
+
+        def add(sources: list[str], tokens: list[int], rates: list[float], most: list[int], ks: list[int]) -> bool:
+            for source in set(sources):
+                at = [i for i, s in enumerate(sources) if s == source]
+                n, r, m, k = (np.array([x[i] for i in at], np.float64) for x in (tokens, rates, most, ks))
+                if source not in sums:
+                    sums[source], tried[source] = np.zeros(OFFSETS), offsets_of(source, seed)
+                o = tried[source][:, None]
+                crossed = np.minimum(np.floor(k * r + o) - np.floor((k - 1) * r + o), m)
+                sums[source] += crossed @ n - (r * n).sum()
+            return False
+
+        def drain() -> Iterator[tuple[str, int, float]]:
+            for source, x in sums.items():
+                yield from ((source, c, float(v)) for c, v in enumerate(x))
+
+        return add, drain
+
+    found = fold_tasks(placed, ["source", "n_tokens", "rate", "max_repeat", "k"], "source string, c int, error double", make, each=4096)
+    errors: dict[str, np.ndarray] = {}
+    for r in found.groupBy("source", "c").agg(F.sum("error").alias("error")).collect():
+        errors.setdefault(r["source"], np.zeros(OFFSETS))[r["c"]] = r["error"]
+    # Rounded, as the order of sums may change their last digits.
+    return {s: float(offsets_of(s, seed)[np.abs(e).round(3).argmin()]) for s, e in errors.items()}
+
+
 def shares(mixed: DataFrame, rate: DataFrame) -> DataFrame:
     """The report: per target source its target, reachable and actual share, tokens, documents and copies."""
     got = mixed.groupBy("source").agg(F.sum("n_tokens").alias("mix_tokens"), F.count(F.lit(1)).alias("n_copies"), F.max("copy_no").alias("most_copies"))
