@@ -145,9 +145,6 @@ def first_reason(text: str | None, words: list[str], profile: Profile = GREEK, n
     return None
 
 
-LANGUAGE = "language string, language_score double, language_script string"
-
-
 def judged(docs: DataFrame, profile: Profile = GREEK, n_grams: bool = True, scorer: Callable[[], language.Scorer] | None = None, by_language: bool = True, formatted: bool = False) -> DataFrame:
     """All columns, and language, language_score, language_script and `reason`: what drops the document, null for survivors.
 
