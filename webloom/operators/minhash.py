@@ -24,6 +24,8 @@ from webloom.session import cut, small
 
 BANDS, ROWS, SHINGLE, PRIME = 14, 8, 5, (1 << 31) - 1
 SIMILARITY = 0.8
+#: Odd numbers that spread 64-bit hashes.
+MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
 
 def permutations(n: int = BANDS * ROWS, seed: int = 1) -> list[tuple[int, int]]:
@@ -49,9 +51,17 @@ def shingle_hashes(words: list[str], n: int = SHINGLE) -> np.ndarray:
 
 
 def wide_hashes(words: list[str], n: int = SHINGLE) -> np.ndarray:
-    """64-bit hashes of the distinct shingles."""
-    grams = {" ".join(words[i : i + n]) for i in range(len(words) - n + 1)}
-    return np.fromiter((xxhash.xxh3_64_intdigest(g) for g in grams), np.uint64, len(grams))
+    """64-bit hashes of the distinct shingles, in order: each different word is hashed once, shingles are mixed from them."""
+    m = len(words) - n + 1
+    if m < 1:
+        return np.zeros(0, np.uint64)
+    known = {w: xxhash.xxh3_64_intdigest(w) for w in set(words)}
+    each = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    out = np.zeros(m, np.uint64)
+    for k in range(n):
+        out = out * MIX[0] + each[k : k + m]
+    out = (out ^ (out >> np.uint64(29))) * MIX[1]
+    return np.unique(out ^ (out >> np.uint64(32)))
 
 
 def minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, each: int = 2048) -> np.ndarray:
@@ -143,7 +153,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     def make() -> Callable[..., Iterator[tuple[Any, ...]]]:
         def f(ids: list[int], texts: list[str | None]) -> Iterator[tuple[Any, ...]]:
             for i, text in zip(ids, texts, strict=True):
-                yield i, np.unique(wide_hashes(normal_words(text)).view(np.int64)).tolist()
+                yield i, wide_hashes(normal_words(text)).view(np.int64).tolist()
 
         return f
 
